@@ -8,6 +8,7 @@ from laurel.catalog import registry
 
 MODULES = (
     "ordered_queries",
+    "rollup_queries",
 )
 
 

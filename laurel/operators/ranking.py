@@ -14,3 +14,11 @@ def top_candidates(df, keys, order, fields: Sequence[str], k: int = 5, name="top
     best = ordered.top_rows(df, keys, order, k)
     packed = F.sort_array(F.collect_list(F.struct("rank", *fields)))
     return best.groupBy(*keys).agg(packed.alias(name))
+
+
+def importance_summary(runs: DataFrame) -> DataFrame:
+    """Mean and population deviation of each feature's importance over several models."""
+    return runs.groupBy("feature").agg(
+        F.avg("importance").alias("importance_mean"),
+        F.stddev_pop("importance").alias("importance_std"),
+    )
