@@ -9,6 +9,7 @@ from laurel.catalog import registry
 MODULES = (
     "ordered_queries",
     "rollup_queries",
+    "feature_queries",
 )
 
 

@@ -273,7 +273,7 @@ def win_14(t):
 
 @query("win_15", oracle("SELECT player_id, conference, week_start, date FROM b3"))
 def win_15(t):
-    return b.awards(t)
+    return b.awards_from_games(t)
 
 
 @query(

@@ -16,6 +16,13 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._made: dict[str, DataFrame] = {}
+
+    def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """Table that is made at most once per query."""
+        if name not in self._made:
+            self._made[name] = make()
+        return self._made[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

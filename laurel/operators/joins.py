@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from laurel.operators import ordered
-from laurel.session import BROADCAST_ROWS, broadcast_checked
+from laurel.session import BROADCAST_ROWS, broadcast_bounded, broadcast_checked
 
 
 def inner_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -52,7 +52,9 @@ def salted_join(
     `other` is replicated `salts` times, so this suits a hot key on the fact side and a moderate
     other side that is too large to broadcast. The result equals the plain join.
     """
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
+    # The partition id spreads equal rows, the hash spreads the rows of one partition; both repeat.
+    spread = F.xxhash64(*facts.columns, F.spark_partition_id())
+    salted = facts.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
     copies = other.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
@@ -121,17 +123,18 @@ def match_report(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFr
 
 
 def interval_join(
-    df: DataFrame, rules: DataFrame, value: str, first: str, last: str, pick: str, priority: str
+    df: DataFrame, rules: DataFrame, date: str, first: str, last: str, pick: str, priority: str
 ) -> DataFrame:
-    """`pick` of the lowest-priority-number rule whose closed interval holds `value`, else NULL.
+    """`pick` of the lowest-priority-number rule whose closed date range holds `date`, else NULL.
 
-    The rules are matched against the distinct values only, so facts are never multiplied; the few
-    matches per value are reduced to the best before they are joined back.
+    Each rule is unfolded into its days and the best rule per day is kept, which turns the range
+    condition into an equality; the unfolded table has at most one row per calendar day.
     """
-    values = df.select(value).distinct()
-    hits = values.join(broadcast_checked(rules), F.col(value).between(F.col(first), F.col(last)))
-    best = hits.groupBy(value).agg(F.min_by(pick, priority).alias(pick))
-    return df.join(best, value, "left")
+    days = rules.select(
+        F.explode(F.sequence(first, last)).alias(date), F.col(pick), F.col(priority)
+    )
+    best = days.groupBy(date).agg(F.min_by(pick, priority).alias(pick))
+    return df.join(broadcast_bounded(best), date, "left")
 
 
 def plays_against(

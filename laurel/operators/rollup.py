@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from laurel.functions import dates, numbers
 from laurel.operators.ordered import OrderedGroups, Prefix
-from laurel.session import GROUP_ROWS, broadcast_bounded
+from laurel.session import GROUP_ROWS
 
 
 def roll_up(
@@ -149,27 +149,32 @@ def percentiles(
         .add(Prefix("_before", "sum", F.col("_n")))
         .result()
     )
-    probabilities = list(probabilities)
     sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    steps = sizes.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p"),
-        "_total",
-    ).withColumn("_at", F.col("p") * (F.col("_total") - 1))
-    lower, upper = F.floor("_at"), F.ceil("_at")
-    on = reduce(
-        lambda a, c: a & c, [placed[k].eqNullSafe(steps[f"_k_{k}"]) for k in keys], F.lit(True)
-    )
-    # One row per probability and group meets the distinct values of that group only.
-    value, first, last = F.col(column), F.col("_before"), F.col("_before") + F.col("_n") - 1
-    joined = (
-        placed.join(steps, on & (first <= upper) & (last >= lower))
-        if keys
-        else placed.join(broadcast_bounded(steps), (first <= upper) & (last >= lower))
-    )
-    ends = joined.groupBy(*keys, "p", "_at").agg(
-        F.max(F.when((first <= lower) & (last >= lower), value)).alias("_lo"),
-        F.max(F.when((first <= upper) & (last >= upper), value)).alias("_hi"),
+    if keys:
+        sizes = sizes.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_total")
+        on = reduce(lambda a, c: a & c, [placed[k].eqNullSafe(sizes[f"_k_{k}"]) for k in keys])
+        placed = placed.join(sizes, on)
+    else:
+        placed = placed.withColumn("_total", sizes.scalar())
+    steps = F.array(*[F.struct(F.lit(float(p)).alias("p")) for p in probabilities])
+    first, last = F.col("_before"), F.col("_before") + F.col("_n") - 1
+
+    def position(step: Column) -> Column:
+        return step["p"] * (F.col("_total") - 1)
+
+    # A value row answers only the probabilities whose neighbours it holds: most rows answer none.
+    answered = placed.withColumn(
+        "_step",
+        F.explode(
+            F.filter(
+                steps, lambda s: (first <= F.ceil(position(s))) & (last >= F.floor(position(s)))
+            )
+        ),
+    ).select(*keys, column, "_before", "_n", F.col("_step.p").alias("p"), position(F.col("_step")).alias("_at"))
+    low, high = F.floor("_at"), F.ceil("_at")
+    ends = answered.groupBy(*keys, "p", "_at").agg(
+        F.max(F.when((first <= low) & (last >= low), F.col(column))).alias("_lo"),
+        F.max(F.when((first <= high) & (last >= high), F.col(column))).alias("_hi"),
     )
     return ends.select(
         *keys,
