@@ -14,7 +14,7 @@ from laurel.catalog.registry import Tables
 from laurel.functions import dates
 from laurel.operators import ordered
 from laurel.plans.history import GameColumns, team_game_history
-from laurel.session import use_checkpoint_dir
+from laurel.session import stored_copy as stored
 
 
 def floor_mod_100(column):
@@ -22,6 +22,26 @@ def floor_mod_100(column):
 
 
 def games(t: Tables) -> DataFrame:
+    """B1, from the stored copy when the query has one."""
+    return t.made("games") or games_from_orders(t)
+
+
+def games_table(t: Tables) -> DataFrame:
+    """B1 stored: for queries that scan the games more than once."""
+    return t.once("games", lambda: stored(games_from_orders(t)))
+
+
+def box(t: Tables) -> DataFrame:
+    """B2, from the stored copy when the query has one."""
+    return t.made("box") or box_from_lines(t)
+
+
+def box_table(t: Tables) -> DataFrame:
+    """B2 stored: for queries that scan the box scores more than once."""
+    return t.once("box", lambda: stored(box_from_lines(t)))
+
+
+def games_from_orders(t: Tables) -> DataFrame:
     """B1: one row per order; teams are nations."""
     lines = t.lineitem.groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("supp"), F.max("l_extendedprice").alias("px")
@@ -56,7 +76,7 @@ def games(t: Tables) -> DataFrame:
     )
 
 
-def box(t: Tables) -> DataFrame:
+def box_from_lines(t: Tables) -> DataFrame:
     """B2: one row per (order, supplier); players are suppliers. Season and week are added."""
     lines = t.lineitem.groupBy("l_orderkey", "l_suppkey").agg(
         F.count(F.lit(1)).alias("minutes"),
@@ -110,7 +130,11 @@ def player_weeks(t: Tables) -> DataFrame:
 
 
 def scored_weeks(t: Tables) -> DataFrame:
-    """Weekly points per player inside (week, conference), seasons folded together."""
+    """Weekly points per player inside (week, conference), from the stored copy if there is one."""
+    return t.made("scored_weeks") or scored_weeks_from_box(t)
+
+
+def scored_weeks_from_box(t: Tables) -> DataFrame:
     return (
         box(t)
         .groupBy("player_id", "teamid", "week_start")
@@ -119,12 +143,6 @@ def scored_weeks(t: Tables) -> DataFrame:
     )
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """A table that a pipeline has written before the query: computed once, then read."""
-    use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def awards_from_games(t: Tables) -> DataFrame:
     """B3: best player per week and conference, dated the Monday after the week."""
     best = ordered.top_rows(
@@ -176,6 +194,7 @@ def elites(t: Tables) -> DataFrame:
 
 def labelled_weeks(t: Tables) -> DataFrame:
     """B9: candidates per (week, conference) with y = award winner and score = weekly assists."""
+    t.once("scored_weeks", lambda: stored(scored_weeks_from_box(t)))
     won = awards(t).select("player_id", "conference", "week_start", F.lit(1).alias("y"))
     return (
         scored_weeks(t)
@@ -192,7 +211,7 @@ def labelled_weeks(t: Tables) -> DataFrame:
 
 
 def history(t: Tables) -> DataFrame:
-    return team_game_history(games(t), GameColumns())
+    return team_game_history(games_table(t), GameColumns())
 
 
 SQL: dict[str, str] = {

@@ -106,7 +106,7 @@ def sql(text: str) -> str:
 
 def player_games(t, awards=None):
     return features.game_features(
-        b.box(t), b.history(t), b.awards(t) if awards is None else awards, b.honours(t), b.conferences(t), b.elites(t)
+        b.box_table(t), b.history(t), b.awards(t) if awards is None else awards, b.honours(t), b.conferences(t), b.elites(t)
     )
 
 
@@ -125,7 +125,7 @@ def weekly(t, awards=None):
     ),
 )
 def fea_1(t):
-    history = team_game_history(b.games(t), where="gamedate >= '1995-01-01'")
+    history = team_game_history(b.games_table(t), where="gamedate >= '1995-01-01'")
     return history.withColumn("opp_winrate_prior", F.round("opp_winrate_prior", 6))
 
 
@@ -145,7 +145,7 @@ def box_with_win(t):
     from laurel.catalog.ordered_queries import flagged
 
     sides = flagged(t).select("gameid", "teamid", "opponentid", F.col("is_win").alias("win"))
-    return b.box(t).drop("opponentid").join(sides, ["gameid", "teamid"])
+    return b.box_table(t).drop("opponentid").join(sides, ["gameid", "teamid"])
 
 
 @query("fea_2", sql(ELITE_SQL.format(rows=BOX_WITH_WIN)))
@@ -172,7 +172,7 @@ GROUP BY player_id ORDER BY wins_vs_elite DESC, player_id LIMIT 30"""),
 def fea_3(t):
     day = F.col("gamedate").cast("string")
     rows = features.elite_opponent_by_result(
-        b.box(t), b.games(t), b.elites(t), where=day.startswith("1999-") | day.startswith("2000-")
+        b.box_table(t), b.games_table(t), b.elites(t), where=day.startswith("1999-") | day.startswith("2000-")
     )
     totals = rows.groupBy("player_id").agg(F.sum("win_vs_elite").alias("wins_vs_elite"))
     return totals.orderBy(F.desc("wins_vs_elite"), "player_id").limit(30)
@@ -271,7 +271,7 @@ JOIN (SELECT teamid, season, week_start, CAST(SUM(points) AS BIGINT) AS team_poi
 WHERE points_mean_season IS NOT NULL"""),
 )
 def fea_8(t):
-    rows = features.team_share_features(b.box(t))
+    rows = features.team_share_features(b.box_table(t))
     return rows.select(
         "player_id", "teamid", "season", "week_start", "games", "minutes", "points", "assists", "plus_minus",
         "team_points", "team_assists", "team_games",
@@ -328,7 +328,7 @@ LEFT JOIN b4 h ON h.player_id = a.player_id AND h.season = a.season"""
     ),
 )
 def fea_10(t):
-    rows = features.prior_season_honours(b.player_weeks(t), b.box(t), b.honours(t))
+    rows = features.prior_season_honours(b.player_weeks(t), b.box_table(t), b.honours(t))
     return rows.select(
         "player_id", "teamid", "season", "week_start", *[f"{h}_last_season" for h in HONOURS]
     )
@@ -345,7 +345,7 @@ JOIN (SELECT DISTINCT week_start, conference FROM b3 WHERE conference <> 4) o
 LEFT JOIN b3 w ON w.week_start = x.week_start AND w.conference = conf.conference AND w.player_id = x.player_id"""),
 )
 def fea_11(t):
-    rows = b.box(t).select("gameid", "player_id", "teamid", "week_start")
+    rows = b.box_table(t).select("gameid", "player_id", "teamid", "week_start")
     return features.label_winners(rows, b.awards(t).where("conference <> 4"), b.conferences(t))
 
 
@@ -391,7 +391,7 @@ WINDOW s AS (PARTITION BY player_id, season ORDER BY award_week, gamedate, gamei
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""),
 )
 def fea_14(t):
-    return features.player_game_history(b.history(t), b.box(t), b.awards(t)).select(
+    return features.player_game_history(b.history(t), b.box_table(t), b.awards(t)).select(
         "gameid", "teamid", "player_id", "player_played", "player_win",
         "player_games_season_prior", "player_wins_season_prior",
         "player_games_week_prior", "player_wins_week_prior",

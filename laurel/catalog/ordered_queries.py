@@ -21,7 +21,7 @@ TEAM_SEASON = ["teamid", "season"]
 
 
 def flagged(t: Tables):
-    return with_flags(team_rows(b.games(t)))
+    return with_flags(team_rows(b.games_table(t)))
 
 
 @query("win_1", oracle("SELECT gameid, teamid, games_prior FROM priors"))
@@ -66,7 +66,7 @@ SELECT gameid, teamid, games_prior - wins_prior AS losses_prior,
        games_prior - home_games_prior - away_wins_prior AS away_losses_prior FROM priors"""),
 )
 def win_4(t):
-    return team_game_history(b.games(t)).select(
+    return team_game_history(b.games_table(t)).select(
         "gameid", "teamid", "losses_prior", "away_games_prior", "home_losses_prior", "away_losses_prior"
     )
 

@@ -18,6 +18,9 @@ class Tables:
         self.sf_dir = sf_dir
         self._made: dict[str, DataFrame] = {}
 
+    def made(self, name: str) -> DataFrame | None:
+        return self._made.get(name)
+
     def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """Table that is made at most once per query."""
         if name not in self._made:

@@ -15,7 +15,7 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from laurel.session import GROUP_ROWS, use_checkpoint_dir
+from laurel.session import GROUP_ROWS, stored_copy
 
 CHUNK = "_chunk"
 
@@ -61,13 +61,12 @@ class OrderedGroups:
             df.groupBy(*self.keys).count().agg(F.max("count"), F.sum("count")).first()
         )
         if (largest or 0) > max_rows:
-            use_checkpoint_dir(df.sparkSession)
             parts = max(2, ceil(2 * total / max_rows))
-            # The checkpoint freezes the chunk of every row: range bounds come from a sample.
-            self.df = (
-                df.repartitionByRange(parts, *[F.col(k) for k in self.keys], *self.order)
-                .withColumn(CHUNK, F.spark_partition_id())
-                .checkpoint()
+            # The written copy freezes the chunk of every row: range bounds come from a sample.
+            self.df = stored_copy(
+                df.repartitionByRange(parts, *[F.col(k) for k in self.keys], *self.order).withColumn(
+                    CHUNK, F.spark_partition_id()
+                )
             )
             self.chunked = True
 

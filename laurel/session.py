@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -44,6 +45,22 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """New path below the shared checkpoint folder."""
+    use_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/laurel-{uuid.uuid4().hex}"
+
+
+def stored_copy(df: DataFrame) -> DataFrame:
+    """Write `df` once to the shared folder and read it back.
+
+    Cuts the lineage, survives lost executors, and gives later plans column pruning and file sizes.
+    """
+    path = scratch_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint when `df` is counted to be small.
 
