@@ -10,6 +10,8 @@ MODULES = (
     "ordered_queries",
     "rollup_queries",
     "feature_queries",
+    "join_queries",
+    "column_queries",
 )
 
 
