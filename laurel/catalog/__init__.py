@@ -12,6 +12,7 @@ MODULES = (
     "feature_queries",
     "join_queries",
     "column_queries",
+    "source_queries",
 )
 
 
