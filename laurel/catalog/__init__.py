@@ -13,6 +13,7 @@ MODULES = (
     "join_queries",
     "column_queries",
     "source_queries",
+    "model_queries",
 )
 
 

@@ -1,0 +1 @@
+"""Model preparation, training and search with Spark ML."""
