@@ -14,6 +14,7 @@ MODULES = (
     "column_queries",
     "source_queries",
     "model_queries",
+    "stream_queries",
 )
 
 

@@ -306,7 +306,7 @@ def fea_9(t):
         F.when(F.col("o_orderstatus") == "P", "Preseason").otherwise("Regular Season").alias("gametype"),
     )
     rows = features.win_pct_features(
-        weeks, box_with_win(t), b.conferences(t), types, current_season=2000, opening_day="2000-10-21"
+        weeks, box_with_win(t), types, current_season=2000, opening_day="2000-10-21"
     )
     return rows.select(
         "player_id", "teamid", "season", "week_start",

@@ -18,15 +18,17 @@ def label_winners(
 ) -> DataFrame:
     """Conference and 0/1 label of each row; rows of weeks without an award there are dropped.
 
-    A tied award labels every named player and never doubles a row. Awards hold few rows per week
-    and conference, conferences one row per team; both are counted before they are broadcast.
+    A tied award labels every named player and never doubles a row. A team that is listed in two
+    conferences is a candidate in both. The small sides are counted before they are broadcast.
     """
     named = awards.select("week_start", "conference", "player_id").distinct()
+    # One row per week and conference.
     open_weeks = named.select("week_start", "conference").distinct()
     winners = named.where(F.col("player_id").isNotNull()).withColumn(name, F.lit(1))
-    placed = joins.dimension_join(rows, conferences, ["teamid"], "inner")
+    pairs = conferences.select("teamid", "conference").distinct()
     return (
-        placed.join(broadcast_bounded(open_weeks), ["week_start", "conference"], "left_semi")
+        rows.join(broadcast_checked(pairs), "teamid")
+        .join(broadcast_bounded(open_weeks), ["week_start", "conference"], "left_semi")
         .join(broadcast_checked(winners), ["week_start", "conference", "player_id"], "left")
         .withColumn(name, F.coalesce(name, F.lit(0)))
     )
@@ -227,7 +229,6 @@ def game_type(
 def win_pct_features(
     weekly: DataFrame,
     team_games: DataFrame,
-    conferences: DataFrame,
     game_types: DataFrame,
     current_season: int,
     opening_day: str,
@@ -248,15 +249,14 @@ def win_pct_features(
             == "Regular Season"
         )
     )
-    games = joins.dimension_join(games, conferences, ["teamid"], "inner")
     running = ordered.running_average(
         games, ["teamid", "season"], ["week_start", "gamedate", "gameid"], "win", "win_pct"
     )
-    per_week = running.groupBy("teamid", "season", "week_start", "conference").agg(
+    per_week = running.groupBy("teamid", "season", "week_start").agg(
         F.avg("win_pct").alias("avg_win_pct_this_week"),
         (F.max("win_pct") - F.min("win_pct")).alias("win_pct_spread_this_week"),
     )
-    joined = weekly.join(per_week, ["teamid", "season", "week_start", "conference"], "left")
+    joined = weekly.join(per_week, ["teamid", "season", "week_start"], "left")
     return cleaning.fill_with_mean(joined, ["avg_win_pct_this_week", "win_pct_spread_this_week"])
 
 
