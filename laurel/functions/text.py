@@ -9,6 +9,7 @@ from collections.abc import Mapping
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 # Executors get the UDF itself, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -48,7 +49,7 @@ def _plain(text: str | None) -> str | None:
     return "".join(c for c in decomposed if unicodedata.category(c) != "Mn")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def strip_accents(text: pd.Series) -> pd.Series:
     """Base letters of a text: special letters spelled out, NFKD, non-spacing marks dropped.
 
@@ -58,12 +59,17 @@ def strip_accents(text: pd.Series) -> pd.Series:
     return text.map(_plain, na_action="ignore")
 
 
+def stripped(text: Column) -> Column:
+    """Text without surrounding white space."""
+    return F.btrim(text, F.lit(" \t\n\r\f\v"))
+
+
 def fix_mojibake(text: Column) -> Column:
     """Trimmed text; repaired when it is UTF-8 that was read as Latin-1, else unchanged.
 
     A lone `Ä` left at the end stands for a `ć` whose second byte was lost.
     """
-    s = F.trim(text)
+    s = stripped(text)
     latin = s.rlike(MOJIBAKE_MARKS) & s.rlike("^[\\u0000-\\u00FF]*$")
     # Only Latin-1 text reaches the encoder, which refuses other characters.
     bytes_ = F.encode(F.when(latin, s), "ISO-8859-1")
@@ -75,12 +81,12 @@ def fix_mojibake(text: Column) -> Column:
 
 def strip_or_null(text: Column) -> Column:
     """Text without surrounding blanks; NULL when nothing is left."""
-    return F.nullif(F.trim(text), F.lit(""))
+    return F.nullif(stripped(text), F.lit(""))
 
 
 def words(text: Column) -> Column:
     """Tokens between runs of white space."""
-    return F.split(F.trim(text), "\\s+")
+    return F.split(stripped(text), "\\s+")
 
 
 def first_word(text: Column) -> Column:
