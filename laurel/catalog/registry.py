@@ -10,22 +10,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+# Input tables written so far, per application and scale folder. As in a pipeline, the game, box-score,
+# award and honour tables are written once and scanned by every query after that.
+_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Tables:
     """Test tables of one scale folder, by attribute."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self._made: dict[str, DataFrame] = {}
+
+    def _key(self, name: str) -> tuple[str, str, str]:
+        return (self.spark.sparkContext.applicationId, self.sf_dir, name)
 
     def made(self, name: str) -> DataFrame | None:
-        return self._made.get(name)
+        return _WRITTEN.get(self._key(name))
 
     def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        """Table that is made at most once per query."""
-        if name not in self._made:
-            self._made[name] = make()
-        return self._made[name]
+        """Input table that is written at most once per application."""
+        key = self._key(name)
+        if key not in _WRITTEN:
+            _WRITTEN[key] = make()
+        return _WRITTEN[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

@@ -53,6 +53,7 @@ class OrderedGroups:
         """`max_rows=None` states that group sizes are bounded by construction (no check)."""
         self.keys = list(keys)
         self.order = [F.col(c) if isinstance(c, str) else c for c in order]
+        self.order_names = [c if isinstance(c, str) else None for c in order]
         self.chunked = False
         self.df = df
         if max_rows is None:
@@ -108,7 +109,10 @@ class OrderedGroups:
         return self.df.drop(CHUNK)
 
     def _window_columns(self, keys, prefixes, fill: bool) -> dict[str, Column]:
-        window = Window.partitionBy(*keys).orderBy(*self.order)
+        # A reset column is constant inside its window; left out of the order, the windows with and
+        # without it need the same sort.
+        order = [c for name, c in zip(self.order_names, self.order) if name not in keys]
+        window = Window.partitionBy(*keys).orderBy(*(order or self.order))
         columns = {}
         for p in prefixes:
             frame = window.rowsBetween(Window.unboundedPreceding, 0 if p.current else -1)
