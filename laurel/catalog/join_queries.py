@@ -13,6 +13,7 @@ from laurel.operators import entities, joins, ordered
 from laurel.plans import features
 from laurel.plans.history import season_groups
 from laurel.operators.ordered import Prefix
+from laurel.sources.tables import read_literal
 
 # (priority, first day, last day, season): 1996 and 1997 overlap, and May to August 1999 is a gap.
 RULES = [
@@ -140,9 +141,7 @@ SELECT gameid, player_id, (SELECT CAST(min_by(season, priority) AS INTEGER)
                            WHERE b2.gamedate BETWEEN lo AND hi) AS rule_season FROM b2"""),
 )
 def joi_8(t):
-    rules = t.spark.createDataFrame(RULES, "priority int, lo string, hi string, rule_season int").select(
-        "priority", F.col("lo").cast("date").alias("lo"), F.col("hi").cast("date").alias("hi"), "rule_season"
-    )
+    rules = read_literal(t.spark, RULES, "priority int, lo date, hi date, rule_season int")
     rows = b.box(t).select("gameid", "player_id", "gamedate")
     return joins.interval_join(rows, rules, "gamedate", "lo", "hi", "rule_season", "priority").drop("gamedate")
 

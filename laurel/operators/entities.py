@@ -70,9 +70,10 @@ def resolve_entities(
     Every distinct name is cleaned and resolved once, however often it occurs. Rows with a NULL name
     stay and get no id.
     """
-    resolved = resolve_names(df, name, aliases, lookup).where(F.col(name).isNotNull())
+    names = df.where(F.col(name).isNotNull()).select(name).distinct()
+    resolved = resolve_names(names, name, aliases, lookup)
     rest = [c for c in df.columns if c != name]
-    return df.join(broadcast_checked(resolved, max_rows), name, "left").select(
+    return df.join(broadcast_checked(resolved, max_rows, counted=names), name, "left").select(
         "player_id", "player_name", *rest
     )
 

@@ -16,12 +16,13 @@ from laurel.operators import cleaning
 from laurel.plans import features, league_values as v
 from laurel.plans.history import GameColumns, team_game_history
 from laurel.session import broadcast_bounded
+from laurel.sources.tables import read_literal
 
 ELITE_LISTS = ("first_team", "second_team", "third_team")
 
 
 def teams(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(v.TEAMS), "team string, conference string, team_nickname string")
+    return read_literal(spark, v.TEAMS, "team string, conference string, team_nickname string")
 
 
 def clean_games(raw: DataFrame) -> DataFrame:

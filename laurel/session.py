@@ -61,12 +61,16 @@ def stored_copy(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_checked(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, counted: DataFrame | None = None
+) -> DataFrame:
     """Broadcast hint when `df` is counted to be small.
 
     A larger table gets no hint: it is joined by shuffle, where adaptive execution splits hot keys.
+    `counted` is a cheaper table with as many rows, counted instead.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    rows = (df if counted is None else counted).count()
+    return F.broadcast(df) if rows <= max_rows else df
 
 
 def broadcast_bounded(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 MODES = {"replace": "overwrite", "append": "append", "skip": "ignore"}
 
@@ -35,8 +35,15 @@ def read_path_sql(spark: SparkSession, path: str, columns: str = "*", file_forma
 
 
 def read_literal(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Dimension table from rows in the program text."""
-    return spark.createDataFrame(list(rows), schema)
+    """Dimension table from rows in the program text. The rows are constants of the plan."""
+    fields = T.DataType.fromDDL(schema).fields
+    constants = F.array(
+        *[
+            F.struct(*[F.lit(x).cast(f.dataType).alias(f.name) for x, f in zip(row, fields)])
+            for row in rows
+        ]
+    )
+    return spark.range(1).select(F.inline(constants))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "replace", file_format: str = "parquet", **options) -> None:
