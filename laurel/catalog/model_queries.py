@@ -54,10 +54,34 @@ def candidates(t):
     )
 
 
-@query("ml_1")
+# Two numbers, then one 0/1 column per category value and one per column for unknown values.
+@query(
+    "ml_1",
+    """
+SELECT l.doc_id, l.quality AS y, CAST(2 + nl + 1 + ns + 1 AS INTEGER) AS size,
+       CAST(l.toxic AS DOUBLE) AS toxic, CAST(d.n_chars AS DOUBLE) AS n_chars, CAST(2 AS DOUBLE) AS ones,
+       CAST(2 + lang_code AS INTEGER) AS lang_at, CAST(2 + nl + 1 + source_code AS INTEGER) AS source_at
+FROM labels l JOIN documents d ON l.doc_id = d.doc_id
+JOIN (SELECT COUNT(DISTINCT lang) AS nl, COUNT(DISTINCT source) AS ns FROM labels JOIN documents USING (doc_id)) n ON TRUE
+JOIN (SELECT lang, ROW_NUMBER() OVER (ORDER BY lang) - 1 AS lang_code
+      FROM (SELECT DISTINCT lang FROM labels JOIN documents USING (doc_id)) q) a ON a.lang = d.lang
+JOIN (SELECT source, ROW_NUMBER() OVER (ORDER BY source) - 1 AS source_code
+      FROM (SELECT DISTINCT source FROM labels JOIN documents USING (doc_id)) q) s ON s.source = d.source""",
+)
 def ml_1(t):
     rows = models.assemble_features(documents(t), exclude=["doc_id", "y"], categories=["lang", "source"])
-    return rows.select("doc_id", "y", vector_to_array("features").alias("features"))
+    v = vector_to_array("features").alias("v")
+    ones = F.filter(F.sequence(F.lit(2), F.size("v") - 1), lambda i: F.get("v", i) == 1)
+    return rows.select("doc_id", "y", v).select(
+        "doc_id",
+        "y",
+        F.size("v").alias("size"),
+        F.get("v", F.lit(0)).alias("toxic"),
+        F.get("v", F.lit(1)).alias("n_chars"),
+        F.size(ones).cast("double").alias("ones"),
+        ones[0].alias("lang_at"),
+        ones[1].alias("source_at"),
+    )
 
 
 SCALED = ("points", "assists", "plus_minus")

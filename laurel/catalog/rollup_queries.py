@@ -326,10 +326,10 @@ def set_3(t):
     return rows.groupBy("gameid", "teamid").agg(F.max("elite").alias("has_elite"))
 
 
-@query("set_4", oracle("SELECT DISTINCT c_nationkey AS nation FROM customer EXCEPT SELECT s_nationkey FROM supplier WHERE s_nationkey < 20"))
+@query("set_4", oracle("SELECT DISTINCT c_nationkey AS nation FROM customer EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000"))
 def set_4(t):
     left = t.customer.select(F.col("c_nationkey").alias("nation"))
-    right = t.supplier.where("s_nationkey < 20").select(F.col("s_nationkey").alias("nation"))
+    right = t.supplier.where("s_acctbal > 9000").select(F.col("s_nationkey").alias("nation"))
     return rollup.missing_from(left, right, ["nation"])
 
 

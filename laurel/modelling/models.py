@@ -48,7 +48,7 @@ def feature_stages(
                 inputCols=list(categories), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"
             )
         )
-        stages.append(OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=False, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=False))
         numeric = numeric + hot
     last = "raw_features" if scale or components else "features"
     stages.append(VectorAssembler(inputCols=numeric, outputCol=last, handleInvalid="error"))

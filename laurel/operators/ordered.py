@@ -1,9 +1,9 @@
 """Ordered operators: running totals, prior values, streaks and ranks per group.
 
-Every operator takes a total order. A group whose rows fit one task is done with a plain window. A
-group that does not fit is cut into ordered chunks by a range repartition on (keys, order); each
-chunk is scanned on its own and receives the totals of the chunks before it, so one hot key never
-ends up in one task and no row is left out.
+Every operator takes a total order. Groups whose rows fit one task are done with a plain window.
+Groups that do not fit are found by a count and cut into ordered chunks by a range repartition on
+(keys, order); each chunk is scanned on its own and receives the totals of the chunks before it, so
+one hot key never ends up in one task and no row is left out.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from laurel.session import GROUP_ROWS, stored_copy
+from laurel.session import BROADCAST_ROWS, GROUP_ROWS, stored_copy
 
 CHUNK = "_chunk"
 
@@ -54,22 +54,37 @@ class OrderedGroups:
         self.keys = list(keys)
         self.order = [F.col(c) if isinstance(c, str) else c for c in order]
         self.order_names = [c if isinstance(c, str) else None for c in order]
-        self.chunked = False
         self.df = df
+        self.chunked = False
         if max_rows is None:
             return
-        largest, total = (
-            df.groupBy(*self.keys).count().agg(F.max("count"), F.sum("count")).first()
-        )
-        if (largest or 0) > max_rows:
-            parts = max(2, ceil(2 * total / max_rows))
-            # The written copy freezes the chunk of every row: range bounds come from a sample.
-            self.df = stored_copy(
-                df.repartitionByRange(parts, *[F.col(k) for k in self.keys], *self.order).withColumn(
-                    CHUNK, F.spark_partition_id()
-                )
+        counts = df.groupBy(*self.keys).count().where(F.col("count") > max_rows)
+        large, rows = counts.agg(F.count("count"), F.sum("count")).first()
+        if large:
+            self._cut(counts.drop("count"), large, max(2, ceil(2 * rows / max_rows)))
+
+    def _cut(self, large_keys: DataFrame, large: int, parts: int) -> None:
+        """Give the rows of large groups a chunk number; all other rows share chunk -1."""
+        self.chunked = True
+        self.carry_is_small = large + parts <= BROADCAST_ROWS
+        hot, rest = self.df, None
+        if self.keys:
+            # At most (all rows / max_rows) keys, written so that both joins see the same list.
+            listed = stored_copy(large_keys.toDF(*[f"_h{i}" for i in range(len(self.keys))]))
+            if large <= BROADCAST_ROWS:
+                listed = F.broadcast(listed)
+            on = _same_keys(
+                [self.df[k] for k in self.keys], [listed[f"_h{i}"] for i in range(len(self.keys))]
             )
-            self.chunked = True
+            hot, rest = self.df.join(listed, on, "left_semi"), self.df.join(listed, on, "left_anti")
+        # The written copy freezes the chunk of every row: range bounds come from a sample.
+        self.df = stored_copy(
+            hot.repartitionByRange(parts, *[F.col(k) for k in self.keys], *self.order).withColumn(
+                CHUNK, F.spark_partition_id()
+            )
+        )
+        if rest is not None:
+            self.df = self.df.unionByName(rest.withColumn(CHUNK, F.lit(-1)))
 
     def with_columns(self, columns: dict[str, Column]) -> OrderedGroups:
         self.df = self.df.withColumns(columns)
@@ -126,10 +141,10 @@ class OrderedGroups:
         earlier = (
             Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         )
-        totals = self.df.groupBy(*chunk_keys).agg(
+        totals = self.df.where(F.col(CHUNK) >= 0).groupBy(*chunk_keys).agg(
             *[_aggregate(p).alias(f"_t{i}") for i, p in enumerate(prefixes)]
         )
-        # At most one row per chunk and group: the window below sees few rows per group.
+        # One row per chunk and group of the large keys: the window sees few rows per group.
         carry = totals.select(
             *[F.col(k).alias(f"_k{i}") for i, k in enumerate(chunk_keys)],
             *[
@@ -137,6 +152,8 @@ class OrderedGroups:
                 for i, p in enumerate(prefixes)
             ],
         )
+        if self.carry_is_small and keys == self.keys:
+            carry = F.broadcast(carry)
         on = _same_keys(
             [rows[k] for k in chunk_keys], [carry[f"_k{i}"] for i in range(len(chunk_keys))]
         )
