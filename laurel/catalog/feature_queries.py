@@ -111,8 +111,13 @@ def player_games(t, awards=None):
 
 
 def weekly(t, awards=None):
+    # (game, player) is the key of the box scores.
     return features.weekly_features(
-        player_games(t, awards), STATS, list(HONOURS), ratios={"made_pct": ("made", "attempted")}
+        player_games(t, awards),
+        STATS,
+        list(HONOURS),
+        ratios={"made_pct": ("made", "attempted")},
+        unique_games=True,
     )
 
 

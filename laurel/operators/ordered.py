@@ -210,19 +210,38 @@ def top_rows(df, keys, order, k: int, name="rank") -> DataFrame:
     return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= k)
 
 
-def history_stats(df, keys, order, columns: Sequence[str], suffix="season") -> DataFrame:
+def history_stats(
+    df, keys, order, columns: Sequence[str], suffix="season", max_rows: int | None = None
+) -> DataFrame:
     """Mean and population deviation of each column over the earlier rows; NULL on the first row.
 
-    Meant for period roll-ups: a group holds at most one row per period and team of the season.
+    Period roll-ups have at most one row per period and team of a season and need no size check
+    (`max_rows=None`). With a limit, larger groups are done from running sums of chunks.
     """
-    frame = (
-        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    groups = OrderedGroups(df, keys, order, max_rows)
+    if not groups.chunked:
+        frame = (
+            Window.partitionBy(*keys).orderBy(*groups.order).rowsBetween(Window.unboundedPreceding, -1)
+        )
+        stats = {}
+        for c in columns:
+            stats[f"{c}_mean_{suffix}"] = F.avg(c).over(frame)
+            stats[f"{c}_std_{suffix}"] = F.stddev_pop(c).over(frame)
+        return groups.df.withColumns(stats)
+    helpers = []
+    for c in columns:
+        x = F.col(c).cast("double")
+        groups.add(
+            Prefix(f"_n_{c}", "count", F.col(c)), Prefix(f"_s_{c}", "sum", x), Prefix(f"_q_{c}", "sum", x * x)
+        )
+        helpers += [f"_n_{c}", f"_s_{c}", f"_q_{c}"]
     stats = {}
     for c in columns:
-        stats[f"{c}_mean_{suffix}"] = F.avg(c).over(frame)
-        stats[f"{c}_std_{suffix}"] = F.stddev_pop(c).over(frame)
-    return df.withColumns(stats)
+        mean = F.try_divide(f"_s_{c}", f"_n_{c}")
+        square = F.try_divide(f"_q_{c}", f"_n_{c}")
+        stats[f"{c}_mean_{suffix}"] = mean
+        stats[f"{c}_std_{suffix}"] = F.when(mean.isNotNull(), F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))))
+    return groups.result().withColumns(stats).drop(*helpers)
 
 
 def number_groups(df, keys, name="group_id", max_rows=GROUP_ROWS) -> DataFrame:

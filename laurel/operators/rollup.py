@@ -20,10 +20,12 @@ def roll_up(
     means: Sequence[str] = (),
     maxima: Sequence[str] = (),
     distinct: Mapping[str, str] | None = None,
+    counts: Mapping[str, str] | None = None,
     bands: Mapping[str, Sequence[tuple[int, int | None]]] | None = None,
 ) -> DataFrame:
-    """Grouped sums, means (`avg_x`), maxima, exact distinct counts and banded counts in one pass."""
+    """Grouped sums, means (`avg_x`), maxima, counts, exact distinct counts and banded counts in one pass."""
     columns = [
+        *[F.count(c).alias(out) for out, c in (counts or {}).items()],
         *[F.count_distinct(c).alias(out) for out, c in (distinct or {}).items()],
         *[F.sum(c).alias(c) for c in sums],
         *[F.avg(c).alias(f"avg_{c}") for c in means],

@@ -122,15 +122,21 @@ def weekly_features(
     keys: Sequence[str] = (*WEEK_KEYS, "conference"),
     ratios: Mapping[str, tuple[str, str]] | None = None,
     bands: Mapping[str, Sequence[tuple[int, int | None]]] | None = None,
+    unique_games: bool = False,
 ) -> DataFrame:
-    """Roll-up of `game_features` per player, team and week, in one aggregation."""
+    """Roll-up of `game_features` per player, team and week, in one aggregation.
+
+    `unique_games` states that a player has one row per game and team. Games are then counted
+    instead of counted distinct, which saves a shuffle of the unaggregated rows.
+    """
     weekly = rollup.roll_up(
         features,
         keys,
         sums=[*stats, *WEEKLY_SUMS],
         means=WEEKLY_MEANS,
         maxima=[*WEEKLY_MAXIMA, *honours],
-        distinct={"games_played": "gameid"},
+        distinct=None if unique_games else {"games_played": "gameid"},
+        counts={"games_played": "gameid"} if unique_games else None,
         bands=bands,
     )
     return rollup.with_ratios(weekly, ratios) if ratios else weekly

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from laurel.functions import dates
+from laurel.functions import dates, text
 from laurel.operators import cleaning
 from laurel.plans import features, league_values as v
 from laurel.plans.history import GameColumns, team_game_history
@@ -81,6 +81,28 @@ def clean_awards(awards: DataFrame, spark: SparkSession) -> DataFrame:
     )
 
 
+def award_list(rows: DataFrame) -> DataFrame:
+    """Dated awards from the rows of an award page (see `sources.pages.extract_award_rows`).
+
+    Month names become numbers, the year follows from the season text, and names are spelled as the
+    player list spells them.
+    """
+    month = dates.month_number(F.col("month"))
+    year = dates.award_year(F.col("season"), month)
+    day = text.last_word(F.col("date")).try_cast("int")
+    name = text.listed_name(F.col("player"))
+    return rows.select(
+        "season",
+        F.make_date(year, month, day).alias("date"),
+        year.alias("year"),
+        month.alias("month"),
+        day.alias("day"),
+        "conference",
+        name.alias("player"),
+        "tie",
+    ).withColumn("week", dates.iso_week(F.col("date")))
+
+
 def game_table(
     games: DataFrame,
     statistics: DataFrame,

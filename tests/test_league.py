@@ -153,3 +153,12 @@ def test_training_matrix(tables):
     assert matrix.columns == again.columns
     assert "team_Celtics" in matrix.columns and "player_id" not in matrix.columns
     assert "team_Jazz" not in matrix.columns
+
+
+def test_award_list(spark):
+    rows = spark.createDataFrame(
+        [("2023-24", "January", "Jan 8", "E", "Fat Lever", 0), ("2023-24", "November", "Nov 27", "W", "Tim Hardaway Jr.", 1)],
+        "season string, month string, date string, conference string, player string, tie int",
+    )
+    got = [tuple(r) for r in league.award_list(rows).select("date", "week", "player", "tie").orderBy("date").collect()]
+    assert got == [(dt.date(2023, 11, 27), 48, "Tim Hardaway", 1), (dt.date(2024, 1, 8), 2, "Lafayette Lever", 0)]

@@ -77,6 +77,14 @@ def test_running_average(skewed):
     assert rows(plain, "id", "a") == rows(cut, "id", "a")
 
 
+def test_history_stats(skewed):
+    plain = ordered.history_stats(skewed, ["k"], ["wk", "d", "id"], ["v"])
+    cut = ordered.history_stats(skewed, ["k"], ["wk", "d", "id"], ["v"], max_rows=30)
+    for a, b in zip(plain.orderBy("id").collect(), cut.orderBy("id").collect()):
+        assert a.v_mean_season == (None if b.v_mean_season is None else pytest.approx(b.v_mean_season))
+        assert a.v_std_season == (None if b.v_std_season is None else pytest.approx(b.v_std_season, abs=1e-9))
+
+
 def test_group_numbers_are_dense_and_keep_rows(skewed):
     numbered = ordered.number_groups(skewed, ["k", "wk"])
     assert numbered.count() == skewed.count()
