@@ -8,6 +8,8 @@ from laurel.catalog import bindings as b
 from laurel.catalog.bindings import oracle
 from laurel.catalog.registry import query
 from laurel.operators import rollup
+from laurel.operators.joins import member_flag, membership_flags
+from laurel.operators.ranking import importance_summary
 from laurel.plans.history import team_rows
 
 WEEK_KEYS = ["player_id", "teamid", "season", "week_start"]
@@ -110,8 +112,6 @@ FROM (SELECT l.season, CASE WHEN rk = 1 THEN 1 ELSE 0 END AS mvp,
 GROUP BY season""", labelled=LABELLED),
 )
 def agg_6(t):
-    from laurel.operators.joins import membership_flags
-
     lists = b.honours(t)
     winners = membership_flags(
         labelled(t).where("y = 1"),
@@ -264,8 +264,6 @@ SELECT teamid AS feature, ROUND(AVG(points), 6) AS importance_mean,
 FROM (SELECT teamid, season, SUM(points) / 1000 AS points FROM b2 GROUP BY teamid, season) q GROUP BY teamid"""),
 )
 def agg_17(t):
-    from laurel.operators.ranking import importance_summary
-
     runs = (
         b.box(t)
         .groupBy(F.col("teamid").alias("feature"), F.col("season").alias("run"))
@@ -320,8 +318,6 @@ SELECT gameid, teamid, CAST(MAX(CASE WHEN player_id IN (SELECT player_id FROM b4
 FROM b2 GROUP BY gameid, teamid"""),
 )
 def set_3(t):
-    from laurel.operators.joins import member_flag
-
     rows = member_flag(b.box(t), b.elites(t), "player_id", "elite")
     return rows.groupBy("gameid", "teamid").agg(F.max("elite").alias("has_elite"))
 

@@ -7,8 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Largest table that is sent whole to every executor.
+# Largest table that is sent whole to every executor: rows, and rows times columns.
 BROADCAST_ROWS = 500_000
+BROADCAST_CELLS = 5_000_000
 # Largest group of rows that one task may sort by itself.
 GROUP_ROWS = 2_000_000
 
@@ -70,7 +71,8 @@ def broadcast_checked(
     `counted` is a cheaper table with as many rows, counted instead.
     """
     rows = (df if counted is None else counted).count()
-    return F.broadcast(df) if rows <= max_rows else df
+    small = rows <= max_rows and rows * len(df.columns) <= BROADCAST_CELLS
+    return F.broadcast(df) if small else df
 
 
 def broadcast_bounded(df: DataFrame) -> DataFrame:
