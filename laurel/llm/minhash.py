@@ -92,50 +92,36 @@ def shingle_sets(batch: pa.RecordBatch, shingle: int) -> tuple[np.ndarray, np.nd
     return hashes, np.searchsorted(owners, np.arange(len(sizes) + 1))
 
 
-def _document_sets(documents: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, n_shingles, set_hash): the hash, 128 bits, is null for an empty set."""
+def _signed_documents(documents: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
+    """(doc_id, n_shingles, set_hash, keys): a 128-bit hash of the set and its band keys; null for an empty set."""
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", BATCH_BYTES):
             hashes, at = shingle_sets(batch, shingle)
             sizes = np.diff(at)
-            sums = [np.zeros(len(sizes), np.uint64) for _ in range(2)]
             some = np.flatnonzero(sizes)
-            for k, out in enumerate(sums):
-                if len(some):
-                    out[some] = np.add.reduceat(mixed(hashes + _step(k + 77)), at[some])
-            key = np.stack([mixed(sums[0]), mixed(sums[1])], axis=1)
-            keys = [key[k].tobytes() if sizes[k] else None for k in range(len(sizes))]
+            digests, keys = [None] * len(sizes), [None] * len(sizes)
+            if len(some):
+                sums = [np.add.reduceat(mixed(hashes + _step(k + 77)), at[some]) for k in range(2)]
+                digest = np.stack([mixed(x) for x in sums], axis=1)
+                owner = np.repeat(np.arange(len(some)), sizes[some])
+                parts = super_minhash(hashes, owner, len(some), bands * rows).view(np.uint64).reshape(len(some), bands, rows)
+                key = np.tile(np.array([_step(k + 1) for k in range(bands)]), (len(some), 1))
+                for k in range(rows):
+                    key = mixed((key ^ parts[:, :, k]) * _step(1))
+                for line, k in enumerate(some):
+                    digests[k], keys[k] = digest[line].tobytes(), key[line].view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary())],
-                names=["doc_id", "n_shingles", "set_hash"],
+                [
+                    batch.column("doc_id").cast(pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(digests, pa.binary()),
+                    pa.array(keys, pa.list_(pa.int64())),
+                ],
+                names=["doc_id", "n_shingles", "set_hash", "keys"],
             )
 
-    return documents.select("doc_id", "text").mapInArrow(digest, "doc_id long, n_shingles long, set_hash binary")
-
-
-def _band_keys(documents: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """(node, band_key) of every band of each document with a shingle."""
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", BATCH_BYTES):
-            hashes, at = shingle_sets(batch, shingle)
-            sizes = np.diff(at)
-            some = np.flatnonzero(sizes)
-            if not len(some):
-                continue
-            owner = np.repeat(np.arange(len(some)), sizes[some])
-            signs = super_minhash(hashes, owner, len(some), bands * rows)
-            parts = signs.view(np.uint64).reshape(len(some), bands, rows)
-            key = np.tile(np.array([_step(k + 1) for k in range(bands)]), (len(some), 1))
-            for k in range(rows):
-                key = mixed((key ^ parts[:, :, k]) * _step(1))
-            ids = np.asarray(batch.column("doc_id").cast(pa.int64()))[some]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(ids, bands)), pa.array(key.ravel().view(np.int64))], names=["node", "band_key"]
-            )
-
-    return documents.mapInArrow(keys, "node long, band_key long")
+    return documents.mapInArrow(signed, "doc_id long, n_shingles long, set_hash binary, keys array<long>")
 
 
 def linked_sets(hashes: np.ndarray, at: np.ndarray, left: int, percent: int, forest: Forest) -> list[tuple[int, int]]:
@@ -244,18 +230,17 @@ def near_duplicates(
     document for linking (links of either). Further columns are ignored. An empty table gives an empty one.
     """
     documents = documents.select("doc_id", "text")
-    own = stored_copy(_document_sets(documents, shingle))
+    own = stored_copy(_signed_documents(documents, shingle, bands, rows))
     usable = own.where("doc_id is not null and set_hash is not null")
-    firsts = usable.groupBy("set_hash").agg(F.min("doc_id").alias("node"))
-    firsts = stored_copy(firsts)
-    present = documents.join(firsts.select(F.col("node").alias("doc_id")).distinct(), "doc_id")
-    keyed = stored_copy(_band_keys(present, shingle, bands, rows))
+    # Equal sets have equal keys, so any of them serves.
+    firsts = stored_copy(usable.groupBy("set_hash").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys")))
+    keyed = firsts.select("node", F.explode("keys").alias("band_key"))
     least = keyed.groupBy("band_key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
     ties = keyed.join(least, "band_key").where("node <> first").select("first", "node").distinct()
     families = components(ties, "first", "node").withColumnRenamed("component", "family")
     families = stored_copy(families)
     links = stored_copy(_confirmed_links(documents, families, shingle, percent))
-    copies = usable.join(firsts, "set_hash").where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
+    copies = usable.join(firsts.drop("keys"), "set_hash").where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     joined = components(links.select("a", "b").union(copies).distinct())
     out = own.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id").alias("component_id")
