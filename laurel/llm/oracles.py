@@ -22,6 +22,22 @@ def _reach(nodes: str, links: str, key: str) -> str:
     smallest AS (SELECT {key}, min(seen) AS component_id FROM reach GROUP BY {key})"""
 
 
+ORACLES["op1_substrings"] = f"""
+WITH w AS (SELECT doc_id, coalesce({_WORDS.format('text')}, []) AS w FROM documents),
+p AS (
+  SELECT doc_id, i, array_to_string(w[i:i+12], ' ') AS p
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w)
+),
+firsts AS (SELECT p, min(doc_id) AS d FROM p GROUP BY p),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM p JOIN firsts USING (p) WHERE d < doc_id),
+words AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS k FROM w),
+left_over AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY k) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN left_over USING (doc_id)
+"""
+
 ORACLES["op3_minhash"] = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
 g AS (

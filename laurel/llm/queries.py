@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from laurel.llm import minhash, mixing, sharding
+from laurel.llm import minhash, mixing, sharding, substrings
 from laurel.llm.oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(substrings.substring_dedup(table(spark, sf_dir, "documents"), size=13))
+
+
 @query
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
