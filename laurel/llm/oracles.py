@@ -101,3 +101,33 @@ ORACLES["op4_mixing"] = f"""
 WITH {mixing_sql('documents')}
 SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM mixed
 """
+
+# Base32 of a SHA-1: 40 hex digits are 8 groups of 5, each of which is 4 letters of 5 bits.
+_BASE32 = """list_aggregate(list_transform(range(0, 32), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(sha1({0}), 1 + 5 * (k // 4), 5))::BIGINT >> (15 - 5 * (k % 4))) & 31)::BIGINT, 1)),
+    'string_agg', '')"""
+
+ORACLES["op6_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+r AS (SELECT h, max(page_id) AS response FROM p GROUP BY h)
+SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, {_BASE32.format('h')} AS payload_digest,
+  CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> response THEN response END AS refers_to
+FROM p JOIN r USING (h)
+"""
+
+# Values that are null, empty, zero or not finite link with nothing.
+ORACLES["op2_embeddings"] = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND len(x.e) = len(y.e) AND x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.98
+),
+{_reach('embeddings', 'links', 'vec_id')}
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN smallest USING (vec_id)
+"""

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from laurel.llm import minhash, mixing, sharding, substrings
+from laurel.llm import language, minhash, mixing, sharding, substrings, tokens, warc
 from laurel.llm.oracles import ORACLES
+from laurel.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -37,6 +38,27 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+@query
+def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_path(spark)
+    tokens.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return tokens.id_checksums(tokens.read_tokens(spark, path))
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(warc.with_record_types(table(spark, sf_dir, "pages")), scratch_path(spark))
+    return warc.page_records(warc.read_archives(archives))
+
+
+@query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.language_of_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = sharding.shard_records(table(spark, sf_dir, "documents"), shards=40)
