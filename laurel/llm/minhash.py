@@ -210,14 +210,14 @@ def _confirmed_links(documents: DataFrame, families: DataFrame, shingle: int, pe
 
 
 def near_duplicates(
-    documents: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 21, rows: int = 6
+    documents: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 25, rows: int = 5
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     A document's set holds the distinct shingles of its words (A-Z in lower case). Documents with
     100 * intersection >= percent * union are linked; component_id is the smallest doc_id reachable, and
-    that document is kept. Candidates come from bands of SuperMinHash signatures; a pair at Jaccard 0.85
-    shares one of 21 bands of 6 ranks with probability 0.99995, at 0.8 with 0.998. Links are confirmed on
+    that document is kept. Candidates come from bands of SuperMinHash signatures; a pair at Jaccard 0.8
+    shares one of 25 bands of 5 ranks with probability 0.99995; at 0.85, 21 bands of 6 ranks do the same. Links are confirmed on
     the full sets of 64-bit shingle hashes.
 
     Copies of a set are one node, so thousands of copies cost one signature. Band buckets are tied to their
@@ -254,4 +254,4 @@ def drop_near_duplicates(documents: DataFrame, shingle: int = 5, percent: int =
     Rows without an id stay; of rows that repeat both id and text all stay, as they are one document.
     """
     found = near_duplicates(documents, shingle, percent, **how).where("not kept").select("doc_id").distinct()
-    return documents.join(found, "doc_id", "left_anti")
+    return documents.join(found, "doc_id", "left_anti").select(documents.columns)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from laurel.llm import language, minhash, mixing, sharding, substrings, tokens, warc
+from laurel.llm import decontamination, embeddings, language, minhash, mixing, sharding, substrings, tokens, toxicity, warc
 from laurel.llm.oracles import ORACLES
 from laurel.session import scratch_path
 
@@ -27,9 +27,14 @@ def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(substrings.substring_dedup(table(spark, sf_dir, "documents"), size=13))
 
 
+@query
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 @query
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85, bands=21, rows=6)
 
 
 @query
@@ -59,6 +64,17 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.leaks(documents, benchmark)
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = sharding.shard_records(table(spark, sf_dir, "documents"), shards=40)

@@ -44,20 +44,39 @@ def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[first:last], ends - first
 
 
-def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word, in order, and the word offsets of the values.
+def solid_bytes(separators: bytes) -> np.ndarray:
+    """Table of the bytes that words are made of: all but `separators`."""
+    solid = np.ones(256, dtype=bool)
+    solid[list(separators)] = False
+    return solid
+
+
+_WORD_BYTES = solid_bytes(SPACES)
+
 
-    `data` and `ends` are what `string_bytes` returns. Tabulation hashing over (place, byte).
+def word_hashes(
+    data: np.ndarray, ends: np.ndarray, solid: np.ndarray = _WORD_BYTES, prefixes: tuple[int, ...] = ()
+) -> tuple[np.ndarray, ...]:
+    """64-bit hash of every word, in order, the word offsets of the values, and hashes of word beginnings.
+
+    `data` and `ends` are what `string_bytes` returns. Tabulation hashing over (place, byte). For each of
+    `prefixes` there is one more array: the hash of so many first bytes of each word, 0 for shorter words.
     """
-    solid = np.ones(256, dtype=bool)
-    solid[list(SPACES)] = False
     inside = solid[data]
     if not inside.any():
-        return np.empty(0, np.uint64), np.zeros(len(ends), np.int64)
+        return np.empty(0, np.uint64), np.zeros(len(ends), np.int64), *(np.empty(0, np.uint64) for _ in prefixes)
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
     heads = ends[:-1][ends[:-1] < len(data)]
     starts[heads] |= inside[heads]
+    hashes, begin, *more = run_hashes(data, inside, starts, prefixes)
+    return hashes, np.searchsorted(begin, ends).astype(np.int64), *more
+
+
+def run_hashes(
+    data: np.ndarray, inside: np.ndarray, starts: np.ndarray, prefixes: tuple[int, ...] = ()
+) -> tuple[np.ndarray, ...]:
+    """Hashes and first places of the runs of bytes `inside` that begin at `starts`, and hashes of beginnings."""
     begin = np.flatnonzero(starts)
     letters = data[inside]
     # Places of the words among the bytes that are no spaces.
@@ -69,7 +88,11 @@ def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     far = place > 255
     if far.any():
         value[far] *= (place[far].astype(np.uint64) >> np.uint64(8)) * np.uint64(2) + np.uint64(1)
-    return mixed(np.add.reduceat(value, first)), np.searchsorted(begin, ends).astype(np.int64)
+    more = []
+    for k in prefixes:
+        head = mixed(np.add.reduceat(np.where(place < k, value, np.uint64(0)), first) + np.uint64(k))
+        more.append(np.where(length >= k, head, np.uint64(0)))
+    return mixed(np.add.reduceat(value, first)), begin, *more
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
