@@ -4,15 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laurel.llm import minhash, mixing, sharding
+from laurel.llm import decontamination, language, minhash, mixing, sharding
 from laurel.session import stored_copy
 
 
+def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without text, or without a letter in it, go."""
+    return language.keep_known_languages(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return minhash.drop_near_duplicates(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark go."""
+    return decontamination.drop_leaked(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target weight asks for."""
     return mixing.mix(docs)
@@ -24,7 +34,9 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", known_languages),
     ("minhash_near_dedup", near_dedup),
+    ("decontamination", decontaminate),
     ("mixing", mix),
     ("sharding", shard),
 ]
