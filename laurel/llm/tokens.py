@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +16,8 @@ from laurel.llm.tasks import sliced
 
 # Text encoded at once by a task.
 BATCH_BYTES = 4 << 20
-# Encoded pieces that a worker remembers.
-REMEMBERED = 200_000
+# Encoded pieces that a worker remembers, about.
+REMEMBERED = 500_000
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.stripe.size": 64 << 20,
@@ -24,15 +25,20 @@ ORC_OPTIONS = {
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": 0.01,
 }
-# A piece ends where the byte-level splitter always splits: before a space that begins a word, and around
-# other white space. Only for texts whose white space is the four characters below.
-_PIECE = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+")
+# The byte-level splitter always splits around white space, a single space going with the word behind it,
+# behind letters that no other letter follows, and behind plain punctuation that letters, digits or white
+# space follow. Only for texts whose white space is the four characters below.
+_PIECE = re.compile(
+    r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+(?![^\W\d_])"
+    r"| ?[!-&(-/:-@\[-`{-~]+(?=[A-Za-z0-9 \t\n\r]|\Z)"
+    r"| ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+"
+)
 _OTHER_SPACE = re.compile("[\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """A byte-level tokenizer with a memory of pieces; gives ids as little-endian 32-bit bytes."""
+    """A byte-level tokenizer that remembers pieces of texts; gives ids as little-endian 32-bit bytes."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -42,23 +48,34 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [self._one(text) for text in texts]
-
-    def _one(self, text: str) -> bytes:
-        if _OTHER_SPACE.search(text) or any(s in text for s in self.special):
-            return self._ids([text])[0]
-        pieces = _PIECE.findall(text)
-        known = self.known
-        missing = list({p for p in pieces if p not in known})
-        if missing:
-            if len(known) + len(missing) > REMEMBERED:
-                known.clear()
-                missing = list(set(pieces))
-            known.update(zip(missing, self._ids(missing)))
-        return b"".join(map(known.__getitem__, pieces))
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        made = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        """Ids of each whole text, as the tokenizer gives them."""
+        if len(self.known) > REMEMBERED:
+            # Frequent pieces come early, so the older half stays.
+            self.known = dict(islice(self.known.items(), REMEMBERED // 2))
+        usual = [not _OTHER_SPACE.search(t) and not any(s in t for s in self.special) for t in texts]
+        split = [_PIECE.findall(t) if u else () for t, u in zip(texts, usual)]
+        missing = set().union(*split).difference(self.known)
+        words = [p for p in missing if p[0] == " " and p[1:].isalpha()]
+        for k in range(0, len(words), 1000):
+            self.known.update(zip(words[k : k + 1000], self._words(words[k : k + 1000])))
+        others = list(missing.difference(words))
+        self.known.update(zip(others, self._whole(others)))
+        known = self.known.__getitem__
+        return [b"".join(map(known, pieces)) if u else self._whole([t])[0] for t, u, pieces in zip(texts, usual, split)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that each begin with a space: in one text they are one splitter's word each."""
+        made = self.tokenizer.encode("".join(words), add_special_tokens=False)
+        ids = np.array(made.ids, dtype="<u4")
+        owner = np.array(made.word_ids, dtype=np.int64)
+        if not len(owner) or owner[-1] != len(words) - 1:
+            return self._whole(words)
+        ends = np.searchsorted(owner, np.arange(len(words) + 1)).tolist()
+        data = ids.tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip(ends[:-1], ends[1:])]
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        made = self.tokenizer.encode_batch(texts, add_special_tokens=False) if texts else []
         return [np.array(e.ids, dtype="<u4").tobytes() for e in made]
 
 
