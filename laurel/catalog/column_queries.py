@@ -481,15 +481,8 @@ SELECT gameid, teamid, CAST(COUNT(DISTINCT player_id) AS INTEGER) AS size,
 FROM b2 GROUP BY gameid, teamid"""),
 )
 def arr_a(t):
-    rosters = rollup.members(b.box(t), ["gameid", "teamid"], "player_id")
-    listed = F.array(*[F.lit(i).cast("bigint") for i in (1, 2, 3, 5, 8)])
-    return rosters.select(
-        "gameid",
-        "teamid",
-        "size",
-        F.array_contains("members", 7).alias("has_7"),
-        F.arrays_overlap("members", listed).alias("overlaps"),
-    )
+    asked = {"has_7": (7,), "overlaps": (1, 2, 3, 5, 8)}
+    return rollup.membership(b.box(t), ["gameid", "teamid"], "player_id", asked)
 
 
 @query(

@@ -94,18 +94,18 @@ SCALED = ("points", "assists", "plus_minus")
         + ", ".join(f"ROUND((p.{c} - m_{c}) / s_{c}, 6) AS {c}" for c in SCALED)
         + " FROM pw p JOIN (SELECT "
         + ", ".join(f"AVG({c}) AS m_{c}, STDDEV_POP({c}) AS s_{c}" for c in SCALED)
-        + " FROM pw WHERE season < 2000) m ON TRUE WHERE season = 2000"
+        + " FROM pw WHERE season < (SELECT MAX(season) FROM pw)) m ON TRUE WHERE season = (SELECT MAX(season) FROM pw)"
     ),
 )
 def ml_2(t):
-    train, test = splits.season_split(b.player_weeks(t), 2000)
+    train, test = splits.season_split(b.player_weeks(t))
     _, scaled = splits.standardise(train, SCALED, test)
     return scaled.select(*WEEK, *rounded(*SCALED))
 
 
 @query("ml_3")
 def ml_3(t):
-    variance = models.explained_variance(vectors(t), VECTORS, 40)
+    variance = models.explained_variance(vectors(t), VECTORS)
     enough = models.components_for(variance, 0.8)
     return variance.withColumn("components_for_80_percent", enough.scalar())
 
@@ -140,25 +140,25 @@ def ml_6(t):
     train, test = rows.where("part = 'train'").drop("part"), rows.where("part = 'test'").drop("part")
     train = models.class_weights(train, "y")
     stages = models.feature_stages(train, exclude=["vec_id", "y", "weight"], components=38)
-    return models.score(models.fit(train, stages, models.logistic(max_iter=50)), test).select(
+    return models.score(models.fit(train, stages, models.logistic(max_iter=1000)), test).select(
         "vec_id", "y", "prediction", "score"
     )
 
 
 @query("ml_7")
 def ml_7(t):
-    train, test = splits.season_split(candidates(t), 2000)
+    train, test = splits.season_split(candidates(t))
     train = models.class_weights(train, "y")
     stages = models.feature_stages(train.select(*STATS), exclude=(), scale=False)
-    scored = models.score(models.fit(train, stages, models.boosted(rounds=5, depth=4)), test)
+    scored = models.score(models.fit(train, stages, models.boosted(rounds=20, depth=5)), test)
     return scored.select(*WEEK, "conference", "y", "score")
 
 
 @query("ml_8")
 def ml_8(t):
-    train, test = splits.season_split(candidates(t), 2000)
+    train, test = splits.season_split(candidates(t))
     train, test = splits.standardise(train, STATS, test)
-    weights = models.fit_pairwise(train, GROUP, STATS, max_iter=30)
+    weights = models.fit_pairwise(train, GROUP, STATS, max_iter=100)
     return models.linear_score(test, weights).select(*WEEK, "conference", "y", "score")
 
 
@@ -285,7 +285,7 @@ def ml_14(t):
     prepared = b.stored(prepared.select("features", "y", "weight"))
     runs = [
         models.importances(models.fit(prepared, [], models.boosted(rounds=3, depth=3, seed=seed)), STATS, seed, t.spark)
-        for seed in (42, 76, 120)
+        for seed in (42, 76, 120, 271, 999)
     ]
     summary = b.stored(ranking.importance_summary(rollup.union_all(*runs)))
     low = ranking.low_importance(summary).select("feature", F.lit(True).alias("low"))
@@ -298,10 +298,10 @@ def ml_15(t):
 
     def fit_and_score(train, validation, setting):
         train, validation = splits.standardise(train, STATS, validation)
-        return models.linear_score(validation, models.fit_pairwise(train, GROUP, STATS, max_iter=20, **setting))
+        return models.linear_score(validation, models.fit_pairwise(train, GROUP, STATS, max_iter=100, **setting))
 
     grid = [{"reg": 0.001}, {"reg": 0.1}]
-    return models.season_search(rows, grid, fit_and_score, GROUP, "player_id", folds=2)
+    return models.season_search(rows, grid, fit_and_score, GROUP, "player_id", folds=5)
 
 
 RATES = """
@@ -371,17 +371,17 @@ def ml_18(t):
     train = models.class_weights(rows.where("lang <> 'fr'"), "y")
     stages = models.feature_stages(train, exclude=["doc_id", "y", "weight"], categories=["lang", "source"])
     path = scratch_path(t.spark)
-    models.save(models.fit(train, stages, models.logistic(max_iter=30)), path)
+    models.save(models.fit(train, stages, models.logistic(max_iter=1000)), path)
     # French was not seen in training: its one-hot columns are those of an unknown value.
     return models.score(models.load(path), rows).select("doc_id", "lang", "y", "prediction", "score")
 
 
 @query("ml_19")
 def ml_19(t):
-    train, test = splits.season_split(candidates(t), 2000)
+    train, test = splits.season_split(candidates(t))
     train, test = splits.standardise(train, STATS, test)
     balanced = models.repeat_positives(train, "y")
     stages = models.feature_stages(balanced.select(*STATS), exclude=(), scale=False)
-    learner = models.perceptron(len(STATS), hidden=(8, 4), max_iter=20)
+    learner = models.perceptron(len(STATS), hidden=(8, 4), max_iter=100)
     scored = models.score(models.fit(balanced, stages, learner), test)
     return scored.select(*WEEK, "conference", "y", "score")

@@ -66,10 +66,13 @@ def assemble_features(df: DataFrame, exclude: Sequence[str], categories: Sequenc
     return Pipeline(stages=feature_stages(df, exclude, categories, scale=False)).fit(df).transform(df)
 
 
-def explained_variance(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
-    """(component, ratio, cumulative) of a principal component analysis of the scaled columns."""
+def explained_variance(df: DataFrame, columns: Sequence[str], k: int | None = None) -> DataFrame:
+    """(component, ratio, cumulative) of a principal component analysis of the scaled columns.
+
+    All components unless `k` is given; a threshold needs all of them.
+    """
     frame = df.select(*columns)
-    model = Pipeline(stages=feature_stages(frame, exclude=(), components=k)).fit(frame)
+    model = Pipeline(stages=feature_stages(frame, exclude=(), components=k or len(columns))).fit(frame)
     total, rows = 0.0, []
     for i, ratio in enumerate(model.stages[-1].explainedVariance, start=1):
         total += float(ratio)
@@ -78,7 +81,10 @@ def explained_variance(df: DataFrame, columns: Sequence[str], k: int) -> DataFra
 
 
 def components_for(variance: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Smallest number of components that explain at least `threshold`."""
+    """Smallest number of components that explain at least `threshold`; an error if those listed do not."""
+    reached = variance.agg(F.max("cumulative")).first()[0]
+    if reached is None or reached < threshold - 1e-9:
+        raise ValueError(f"the components listed explain {reached}, less than {threshold}")
     return variance.where(F.col("cumulative") >= threshold).agg(F.min("component").alias("components"))
 
 
@@ -97,10 +103,10 @@ def logistic(label: str = "y", weight: str | None = "weight", reg: float = 0.01,
     return model.setWeightCol(weight) if weight else model
 
 
-def boosted(label: str = "y", weight: str | None = "weight", rounds: int = 20, depth: int = 5, seed: int = 42, step: float = 0.1):
+def boosted(label: str = "y", weight: str | None = "weight", rounds: int = 20, depth: int = 5, seed: int = 42, step: float = 0.1, sample: float = 1.0):
     model = GBTClassifier(
         labelCol=label, featuresCol="features", maxIter=rounds, maxDepth=depth, seed=seed, stepSize=step,
-        subsamplingRate=0.8,
+        subsamplingRate=sample,
     )
     return model.setWeightCol(weight) if weight else model
 

@@ -10,8 +10,12 @@ from laurel.operators import ordered
 from laurel.session import broadcast_bounded
 
 
-def season_split(df: DataFrame, season: int, column: str = "season") -> tuple[DataFrame, DataFrame]:
-    """Rows of earlier seasons, and rows of that season."""
+def season_split(
+    df: DataFrame, season: int | None = None, column: str = "season"
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of earlier seasons, and rows of that season; the newest one in the data if none is given."""
+    if season is None:
+        season = df.agg(F.max(column)).first()[0]
     return df.where(F.col(column) < season), df.where(F.col(column) == season)
 
 

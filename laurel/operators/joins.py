@@ -128,11 +128,15 @@ def interval_join(
     """`pick` of the lowest-priority-number rule whose closed date range holds `date`, else NULL.
 
     Each rule is unfolded into its days and the best rule per day is kept, which turns the range
-    condition into an equality; the unfolded table has at most one row per calendar day.
+    condition into an equality. Ranges are cut to the dates of `df`, so the unfolded table has at most
+    one row per calendar day of it; a range without a first or last day is open there, and one that ends
+    before it begins holds no day.
     """
-    days = rules.select(
-        F.explode(F.sequence(first, last)).alias(date), F.col(pick), F.col(priority)
-    )
+    low, high = df.agg(F.min(date), F.max(date)).first()
+    ranges = rules.select(
+        F.greatest(F.col(first), F.lit(low)).alias("_lo"), F.least(F.col(last), F.lit(high)).alias("_hi"), pick, priority
+    ).where("_lo <= _hi")
+    days = ranges.select(F.explode(F.sequence("_lo", "_hi")).alias(date), F.col(pick), F.col(priority))
     best = days.groupBy(date).agg(F.min_by(pick, priority).alias(pick))
     return df.join(broadcast_bounded(best), date, "left")
 

@@ -216,7 +216,7 @@ def history_stats(
     """Mean and population deviation of each column over the earlier rows; NULL on the first row.
 
     Period roll-ups have at most one row per period and team of a season and need no size check
-    (`max_rows=None`). With a limit, larger groups are done from running sums of chunks.
+    (`max_rows=None`). With a limit, larger groups are done from the merged moments of chunks.
     """
     groups = OrderedGroups(df, keys, order, max_rows)
     if not groups.chunked:
@@ -228,20 +228,56 @@ def history_stats(
             stats[f"{c}_mean_{suffix}"] = F.avg(c).over(frame)
             stats[f"{c}_std_{suffix}"] = F.stddev_pop(c).over(frame)
         return groups.df.withColumns(stats)
-    helpers = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        groups.add(
-            Prefix(f"_n_{c}", "count", F.col(c)), Prefix(f"_s_{c}", "sum", x), Prefix(f"_q_{c}", "sum", x * x)
-        )
-        helpers += [f"_n_{c}", f"_s_{c}", f"_q_{c}"]
+    return _merged_stats(groups, columns, suffix)
+
+
+def _merged_moments(a: Column, b: Column) -> Column:
+    """Count, mean and summed square deviation of two parts together, from those of each."""
+    n = a["n"] + b["n"]
+    away = b["mean"] - a["mean"]
+    mean = a["mean"] + F.try_divide(away * b["n"], n)
+    m2 = a["m2"] + b["m2"] + F.try_divide(away * away * a["n"] * b["n"], n)
+    zero = F.lit(0.0)
+    return F.struct(n.alias("n"), F.coalesce(mean, zero).alias("mean"), F.coalesce(m2, zero).alias("m2"))
+
+
+def _moments(c: str, over: Window | None = None) -> Column:
+    """Moments of a column, 0 without values: aggregated, or over a window."""
+    place = (lambda x: x.over(over)) if over is not None else (lambda x: x)
+    n, mean, spread = place(F.count(c)), place(F.avg(c)), place(F.var_pop(c))
+    zero = F.lit(0.0)
+    return F.struct(
+        n.cast("double").alias("n"), F.coalesce(mean, zero).alias("mean"), F.coalesce(spread * n, zero).alias("m2")
+    )
+
+
+def _merged_stats(groups: OrderedGroups, columns: Sequence[str], suffix: str) -> DataFrame:
+    """`history_stats` of groups that are cut into chunks.
+
+    Moments of the earlier rows of a row's chunk are merged with those of the earlier chunks; no squares of
+    the values themselves are summed, so large values with a small spread keep their deviation.
+    """
+    chunk_keys = [*groups.keys, CHUNK]
+    before = Window.partitionBy(*chunk_keys).orderBy(*groups.order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = groups.df.withColumns({f"_m_{c}": _moments(c, before) for c in columns})
+    totals = groups.df.where(F.col(CHUNK) >= 0).groupBy(*chunk_keys).agg(*[_moments(c).alias(f"_t_{c}") for c in columns])
+    earlier = Window.partitionBy(*groups.keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    none = F.struct(*[F.lit(0.0).alias(x) for x in ("n", "mean", "m2")])
+    carry = totals.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(chunk_keys)],
+        # One entry per earlier chunk of the group.
+        *[F.aggregate(F.collect_list(f"_t_{c}").over(earlier), none, _merged_moments).alias(f"_c_{c}") for c in columns],
+    )
+    on = _same_keys([rows[k] for k in chunk_keys], [carry[f"_k{i}"] for i in range(len(chunk_keys))])
+    joined = rows.join(carry, on, "left")
     stats = {}
     for c in columns:
-        mean = F.try_divide(f"_s_{c}", f"_n_{c}")
-        square = F.try_divide(f"_q_{c}", f"_n_{c}")
-        stats[f"{c}_mean_{suffix}"] = mean
-        stats[f"{c}_std_{suffix}"] = F.when(mean.isNotNull(), F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))))
-    return groups.result().withColumns(stats).drop(*helpers)
+        moments = _merged_moments(F.coalesce(F.col(f"_c_{c}"), none), F.col(f"_m_{c}"))
+        some = moments["n"] > 0
+        stats[f"{c}_mean_{suffix}"] = F.when(some, moments["mean"])
+        stats[f"{c}_std_{suffix}"] = F.when(some, F.sqrt(moments["m2"] / moments["n"]))
+    helpers = [f"_k{i}" for i in range(len(chunk_keys))] + [f"{p}{c}" for c in columns for p in ("_m_", "_c_")]
+    return joined.withColumns(stats).drop(*helpers, CHUNK)
 
 
 def number_groups(df, keys, name="group_id", max_rows=GROUP_ROWS) -> DataFrame:

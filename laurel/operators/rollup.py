@@ -106,21 +106,23 @@ def label_counts(df: DataFrame, keys: Sequence[str], label: str, values: Sequenc
     return df.groupBy(*keys).agg(*[F.count_if(F.col(label) == v).alias(f"n_{v}") for v in values])
 
 
-def members(df: DataFrame, keys: Sequence[str], member: str, max_members: int = 1_000_000) -> DataFrame:
-    """Distinct members per group as a sorted array.
+def members(df: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
+    """Distinct members per group as a sorted array `members` and their number `size`; one row per group.
 
-    A group with more members than one cell should hold is spread over several rows (`part`), each
-    with its own slice of the set; every member appears exactly once.
+    For groups whose members fit one cell, such as rosters. `membership` answers questions about sets of
+    any size without an array.
     """
-    distinct = df.select(*keys, member).distinct()
-    largest = distinct.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    parts = max(1, ceil(largest / max_members))
-    part = F.pmod(F.xxhash64(member), F.lit(parts)).cast("int").alias("part")
-    return (
-        distinct.groupBy(*keys, part)
-        .agg(F.sort_array(F.collect_list(member)).alias("members"))
-        .withColumn("size", F.size("members"))
-    )
+    listed = F.sort_array(F.collect_list(member)).alias("members")
+    return df.select(*keys, member).distinct().groupBy(*keys).agg(listed).withColumn("size", F.size("members"))
+
+
+def membership(df: DataFrame, keys: Sequence[str], member: str, asked: Mapping[str, Sequence]) -> DataFrame:
+    """Per group its number of distinct members `size` and, for each name in `asked`, whether any listed value is one.
+
+    A plain aggregation: one row per group however many members it has.
+    """
+    flags = [F.coalesce(F.bool_or(F.col(member).isin(list(values))), F.lit(False)).alias(n) for n, values in asked.items()]
+    return df.groupBy(*keys).agg(F.count_distinct(member).cast("int").alias("size"), *flags)
 
 
 def summary(df: DataFrame, column: str) -> DataFrame:

@@ -92,6 +92,8 @@ def exported_counts(spark: SparkSession, folder: str, status: Mapping[str, str])
         for table, state in status.items()
         if state == "written"
     ]
+    if not counts:
+        return spark.createDataFrame([], "table_name string, rows long")
     union = counts[0]
     for c in counts[1:]:
         union = union.unionAll(c)

@@ -41,6 +41,16 @@ def test_interval_overlap_takes_the_first_rule_and_a_gap_gives_null(spark):
     assert rows(got, "id", "season") == [(1, 1998), (2, None), (3, 1997)]
 
 
+def test_open_and_reversed_intervals(spark):
+    df = spark.createDataFrame([(1, day("1998-03-01")), (2, day("1999-07-15")), (3, day("1997-12-01"))], "id int, d date")
+    rules = spark.createDataFrame(
+        [(1, day("1999-01-01"), None, 1), (2, day("1998-06-14"), day("1998-01-01"), 2), (3, None, day("1997-12-31"), 3)],
+        "priority int, lo date, hi date, season int",
+    )
+    got = joins.interval_join(df, rules, "d", "lo", "hi", "season", "priority")
+    assert rows(got, "id", "season") == [(1, None), (2, 1), (3, 3)]
+
+
 def test_previous_season_needs_a_next_one(spark):
     df = spark.createDataFrame([(1, 2000, 1), (1, 2001, 0), (2, 2000, 1), (2, 2002, 1)], "player int, season int, star int")
     got = joins.previous_season(df, "player", "season", ["star"])

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -85,6 +86,18 @@ def test_history_stats(skewed):
         assert a.v_std_season == (None if b.v_std_season is None else pytest.approx(b.v_std_season, abs=1e-9))
 
 
+@pytest.mark.parametrize("max_rows", [None, 3])
+def test_history_deviation_of_large_values(spark, max_rows):
+    """Values near 1e9 with a spread of a few: the deviation does not depend on how the group is cut."""
+    values = [1e9 + (i * 7) % 5 for i in range(40)]
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(values)], "k int, id int, v double")
+    got = ordered.history_stats(df, ["k"], ["id"], ["v"], max_rows=max_rows).orderBy("id").collect()
+    assert got[0].v_mean_season is None and got[0].v_std_season is None
+    for i in range(1, 40):
+        assert got[i].v_mean_season == pytest.approx(np.mean(values[:i]), abs=1e-6)
+        assert got[i].v_std_season == pytest.approx(np.std(values[:i]), abs=1e-6)
+
+
 def test_group_numbers_are_dense_and_keep_rows(skewed):
     numbered = ordered.number_groups(skewed, ["k", "wk"])
     assert numbered.count() == skewed.count()
@@ -110,9 +123,9 @@ def test_percentiles_match_linear_interpolation(spark, max_rows):
         assert whole[p] == pytest.approx(np.percentile([x for _, x in data if x is not None], 100 * p))
 
 
-def test_members_of_a_large_group_are_split_but_whole(spark):
-    df = spark.createDataFrame([(1, i % 25) for i in range(100)] + [(2, 5)], "g int, m int")
-    parts = rollup.members(df, ["g"], "m", max_members=10)
-    assert parts.where("g = 1").count() > 1
-    seen = sorted(m for r in parts.where("g = 1").collect() for m in r.members)
-    assert seen == list(range(25))
+def test_members_are_one_row_per_group(spark):
+    df = spark.createDataFrame([(1, i % 25) for i in range(100)] + [(2, 5), (3, None)], "g int, m int")
+    got = {r.g: (r.members, r["size"]) for r in rollup.members(df, ["g"], "m").collect()}
+    assert got[1] == (list(range(25)), 25) and got[2] == ([5], 1)
+    asked = rollup.membership(df, ["g"], "m", {"has_7": (7,), "any_of": (5, 99)}).collect()
+    assert sorted(map(tuple, asked)) == [(1, 25, True, True), (2, 1, False, True), (3, 0, False, False)]
