@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from laurel.llm.tasks import gram_hashes, mixed, run_hashes, sliced, string_bytes
 from laurel.session import stored_copy
 
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 WINDOW = 5
 # Words of a window that may not be slots.
 LITERALS = 3

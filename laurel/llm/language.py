@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from laurel.llm.tasks import sliced
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 19
 # N-grams of a language's profile and of a document's.
 PROFILE = 300
 UNKNOWN = "und"

@@ -13,7 +13,7 @@ from laurel.llm.tasks import Forest, gram_hashes, lower_ascii, mixed, sliced, st
 from laurel.session import stored_copy
 
 # Text held at once by a task.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 # Sets that one task compares with each other; larger families are compared block by block.
 BLOCK = 1500
 _GOLDEN = 0x9E3779B97F4A7C15

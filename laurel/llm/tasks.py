@@ -124,6 +124,8 @@ def sliced(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator
             rows = max(1, int(np.searchsorted(held, limit, side="right")))
             yield batch.slice(start, rows)
             start += rows
+        # Arrow's allocator otherwise keeps what the largest batch took.
+        pa.default_memory_pool().release_unused()
 
 
 class Forest:

@@ -17,7 +17,7 @@ from laurel.llm.language import held_out
 from laurel.llm.tasks import SPACES, sliced, solid_bytes, string_bytes, word_hashes
 from laurel.session import stored_copy
 
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 # Labelled rows that the models are fitted on at most, about; with fewer labels all are used.
 TRAINING_ROWS = 60_000
 # Terms of the learnt lexicon at most, and documents of label 1 that a term needs.
