@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from laurel.operators.ordered import OrderedGroups, Prefix
-from laurel.session import GROUP_ROWS
+from laurel.session import GROUP_ROWS, stored_copy
+
+# A batch in so many writes the state of all keys; the others write that of the keys they touch.
+FULL_STATE_EVERY = 20
 
 
 def read_new_files(
@@ -33,24 +37,33 @@ def ingest(stream: DataFrame, target: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def weekly_totals(
-    stream: DataFrame, time: str, keys: Sequence[str], value: str, delay: str = "1 day"
-) -> DataFrame:
-    """Count and sum per key and Monday-to-Sunday week. Rows later than `delay` are dropped."""
+def _week(time: str) -> Column:
     # Windows are laid out from 1970-01-01, a Thursday: four days later is a Monday.
-    week = F.window(time, "7 days", "7 days", "4 days")
+    return F.window(time, "7 days", "7 days", "4 days")
+
+
+def _totals(rows: DataFrame, time: str, keys: Sequence[str], value: str) -> DataFrame:
     return (
-        stream.withWatermark(time, delay)
-        .groupBy(week, *keys)
+        rows.groupBy(_week(time).alias("window"), *keys)
         .agg(F.count(F.lit(1)).alias("rows"), F.sum(value).alias("total"))
         .select(F.col("window.start").cast("date").alias("week_start"), *keys, "rows", "total")
     )
 
 
-def keep_updates(aggregated: DataFrame, target: str, checkpoint: str) -> None:
+def weekly_totals(stream: DataFrame, time: str, keys: Sequence[str], value: str, delay: str) -> DataFrame:
+    """Count and sum per key and Monday-to-Sunday week, for live streams.
+
+    A row more than `delay` behind the newest row of an earlier batch is dropped. A backlog whose files come in
+    no order of time has such rows however punctual they were: load it with `add_weekly_totals`.
+    """
+    return _totals(stream.withWatermark(time, delay), time, keys, value)
+
+
+def keep_updates(aggregated: DataFrame, target: str, checkpoint: str) -> int:
     """Write the changed groups of every micro-batch below `target`, then stop.
 
-    A batch that is repeated after a failure replaces its own folder.
+    A batch that is repeated after a failure replaces its own folder. Returns how many partial groups the
+    watermark dropped, over the batches whose progress the session remembers.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -64,6 +77,7 @@ def keep_updates(aggregated: DataFrame, target: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
 
 
 def latest(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
@@ -74,6 +88,57 @@ def latest(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
     return updates.groupBy(*keys).agg(newest).select(*keys, "_v.*")
 
 
+def add_weekly_totals(
+    stream: DataFrame, time: str, keys: Sequence[str], value: str, target: str, checkpoint: str
+) -> None:
+    """Add the weekly totals of each micro-batch to those below `target`, whatever the order of the rows.
+
+    A batch writes the counts and sums of its own rows to its own folder, which a repeated batch replaces.
+    Nothing is held as state, so no row can be too late. `summed_totals` reads the result.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _totals(batch, time, keys, value).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    query = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def summed_totals(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
+    """Weekly totals over all batches of `add_weekly_totals`."""
+    parts = spark.read.parquet(target)
+    return parts.groupBy("week_start", *keys).agg(F.sum("rows").alias("rows"), F.sum("total").alias("total"))
+
+
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
+def _state(spark: SparkSession, target: str, keys: Sequence[str], batch_id: int) -> DataFrame:
+    """Total and last place of every key before batch `batch_id`, from the last full state on."""
+    start = (batch_id - 1) // FULL_STATE_EVERY * FULL_STATE_EVERY
+    folders = [f"{target}/state/batch={b}" for b in range(start, batch_id)]
+    kept = spark.read.option("basePath", f"{target}/state").parquet(*folders)
+    newest = F.max_by(F.struct("_sum", "_last"), "batch").alias("_v")
+    return kept.groupBy(*keys).agg(newest).select(*keys, "_v.*")
+
+
+def running_rows(spark: SparkSession, target: str, keys: Sequence[str], batches: int | None = None) -> DataFrame:
+    """Rows that `prior_sums` wrote, with `prior_sum`, as of its last batch or after `batches` of them."""
+    rows, again = spark.read.parquet(f"{target}/rows"), spark.read.parquet(f"{target}/restated")
+    if batches is not None:
+        rows, again = rows.where(F.col("batch") < batches), again.where(F.col("batch") < batches)
+    # Rows of a key count from the last batch on that wrote the key anew.
+    again = again.groupBy(*keys).agg(F.max("batch").alias("_since"))
+    current = rows.join(again, _same(rows, again, keys), "left").where(rows.batch >= F.coalesce(again._since, F.lit(0)))
+    return current.select(*[rows[c] for c in rows.columns if c != "batch"])
+
+
 def prior_sums(
     stream: DataFrame,
     keys: Sequence[str],
@@ -83,32 +148,43 @@ def prior_sums(
     checkpoint: str,
     max_rows: int = GROUP_ROWS,
 ) -> None:
-    """Running sum of `value` before each row, carried over micro-batches.
+    """Running sum of `value` before each row, carried over micro-batches; `running_rows` reads the result.
 
-    Rows of a later batch must follow those of earlier batches in `order`. Each batch ranks its own rows with the ordered
-    operators and adds the totals of the batches before it, kept as a table per batch below
-    `target`. A repeated batch replaces its own folders.
+    Each batch ranks its own rows with the ordered operators and adds the totals of the batches before it.
+    If a row of a key does not follow all earlier rows of that key in `order`, the key is written anew, with
+    its earlier rows; other keys are not touched. The state is a folder per batch with the keys of the batch,
+    and now and then of all keys. A repeated batch replaces its own folders.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = (
-            OrderedGroups(batch, keys, order, max_rows)
-            .add(Prefix("_before", "sum", F.col(value)))
-            .result()
-        )
-        sums = batch.groupBy(*keys).agg(F.sum(value).alias("_sum"))
+        place = F.struct(*order)
+        sums = batch.groupBy(*keys).agg(F.sum(value).alias("_sum"), F.min(place).alias("_first"), F.max(place).alias("_last"))
         if batch_id == 0:
-            carried, totals = rows.withColumn("_carry", F.lit(0)), sums
+            state = sums.select(*keys, "_sum", "_last").limit(0)
         else:
-            state = spark.read.parquet(f"{target}/state/batch={batch_id - 1}")
-            carried = rows.join(state.withColumnRenamed("_sum", "_carry"), list(keys), "left")
-            totals = state.unionByName(sums).groupBy(*keys).agg(F.sum("_sum").alias("_sum"))
-        result = carried.withColumn(
-            "prior_sum", F.col("_before") + F.coalesce("_carry", F.lit(0))
-        ).drop("_before", "_carry")
-        result.write.mode("overwrite").parquet(f"{target}/rows/batch={batch_id}")
-        totals.write.mode("overwrite").parquet(f"{target}/state/batch={batch_id}")
+            state = _state(spark, target, keys, batch_id)
+        state = stored_copy(state.withColumnsRenamed({"_sum": "_held", "_last": "_held_last"}))
+        met = sums.join(state, _same(sums, state, keys), "left")
+        met = stored_copy(met.select(*[sums[c] for c in sums.columns], state._held, state._held_last))
+        late = met.where("_first <= _held_last").select(*keys)
+        late.write.mode("overwrite").parquet(f"{target}/restated/batch={batch_id}")
+        rows = batch
+        if batch_id > 0:
+            earlier = running_rows(spark, target, keys, batch_id).drop("prior_sum")
+            rows = batch.unionByName(earlier.join(late, _same(earlier, late, keys), "left_semi"))
+        ranked = OrderedGroups(rows, keys, order, max_rows).add(Prefix("_before", "sum", F.col(value))).result()
+        # Keys written anew are complete, so nothing is carried over to them.
+        carry = met.select(*keys, F.when(F.col("_first") > F.col("_held_last"), F.col("_held")).alias("_carry"))
+        joined = ranked.join(carry, _same(ranked, carry, keys), "left")
+        prior_sum = (ranked._before + F.coalesce(carry._carry, F.lit(0))).alias("prior_sum")
+        joined.select(*[ranked[c] for c in batch.columns], prior_sum).write.mode("overwrite").parquet(f"{target}/rows/batch={batch_id}")
+        total = (F.coalesce("_sum", F.lit(0)) + F.coalesce("_held", F.lit(0))).alias("_sum")
+        touched = met.select(*keys, total, F.greatest("_last", "_held_last").alias("_last"))
+        if batch_id % FULL_STATE_EVERY == 0:
+            rest = state.join(met, _same(state, met, keys), "left_anti")
+            touched = touched.union(rest.select(*keys, "_held", "_held_last"))
+        touched.write.mode("overwrite").parquet(f"{target}/state/batch={batch_id}")
 
     query = (
         stream.writeStream.foreachBatch(step)

@@ -1,7 +1,9 @@
-"""Streams end in the state of the batch, and rows that come too late are dropped."""
+"""Streams end in the state of the batch; only a watermark drops rows that come too late."""
 
 import datetime as dt
+import random
 
+import pytest
 from conftest import rows
 
 from laurel.streaming import weekly
@@ -17,18 +19,33 @@ def test_weekly_totals_drop_late_rows(spark, tmp_path):
     source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
 
     def arrive(*data):
-        spark.createDataFrame(list(data), SCHEMA).write.mode("append").parquet(source)
+        spark.createDataFrame(list(data), SCHEMA).coalesce(1).write.mode("append").parquet(source)
         stream = weekly.read_new_files(spark, source, SCHEMA)
-        weekly.keep_updates(weekly.weekly_totals(stream, "ts", ["k"], "v"), target, checkpoint)
+        return weekly.keep_updates(weekly.weekly_totals(stream, "ts", ["k"], "v", delay="1 day"), target, checkpoint)
 
-    arrive((1, at("2024-01-01 00:00"), "a", 1), (2, at("2024-01-07 23:59"), "a", 2))
-    arrive((3, at("2024-01-20 12:00"), "a", 4))
+    assert arrive((1, at("2024-01-01 00:00"), "a", 1), (2, at("2024-01-07 23:59"), "a", 2)) == 0
+    assert arrive((3, at("2024-01-20 12:00"), "a", 4)) == 0
     # The watermark stands at 2024-01-19, so the first week is closed.
-    arrive((4, at("2024-01-03 12:00"), "a", 100), (5, at("2024-01-19 13:00"), "a", 8))
+    assert arrive((4, at("2024-01-03 12:00"), "a", 100), (5, at("2024-01-19 13:00"), "a", 8)) == 1
     got = weekly.latest(spark, target, ["week_start", "k"])
     assert rows(got, "week_start", "total") == [(dt.date(2024, 1, 1), 3), (dt.date(2024, 1, 15), 12)]
 
 
+def test_added_weekly_totals_take_a_backlog_in_any_order(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    days = [5, 33, 1, 20, 6, 34]
+    for i, day in enumerate(days):
+        data = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(days=day - 1), "a", 10**i)]
+        spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    # One file is one batch.
+    stream = weekly.read_new_files(spark, source, SCHEMA, files_per_batch=1)
+    weekly.add_weekly_totals(stream, "ts", ["k"], "v", target, checkpoint)
+    got = weekly.summed_totals(spark, target, ["k"])
+    assert rows(got, "week_start", "rows", "total") == [
+        (dt.date(2024, 1, 1), 3, 10101), (dt.date(2024, 1, 15), 1, 1000), (dt.date(2024, 1, 29), 2, 100010),
+    ]
+
+
 def test_ingest_reads_each_file_once(spark, tmp_path):
     source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     for i in range(3):
@@ -45,5 +62,21 @@ def test_prior_sums_carry_over_batches(spark, tmp_path):
         spark.createDataFrame(data, SCHEMA).write.mode("append").parquet(source)
         stream = weekly.read_new_files(spark, source, SCHEMA)
         weekly.prior_sums(stream, ["k"], ["ts", "id"], "v", target, checkpoint)
-    got = spark.read.parquet(f"{target}/rows")
+    got = weekly.running_rows(spark, target, ["k"])
     assert rows(got, "id", "prior_sum") == [(1, 0), (2, 0), (3, 1), (4, 3), (5, 0), (6, 5), (7, 6)]
+    # Nothing came late, so no key was written twice.
+    assert spark.read.parquet(f"{target}/rows").count() == 7
+
+
+@pytest.mark.parametrize("full_state_every", [20, 2])
+def test_prior_sums_correct_late_rows(spark, tmp_path, monkeypatch, full_state_every):
+    monkeypatch.setattr(weekly, "FULL_STATE_EVERY", full_state_every)
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    rng = random.Random(5)
+    data = [(i, at("2024-01-01") + dt.timedelta(hours=rng.randint(0, 40)), rng.choice(["a", "b", "c", None]), rng.randint(1, 9)) for i in range(40)]
+    for start in range(0, 40, 8):
+        spark.createDataFrame(data[start : start + 8], SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        stream = weekly.read_new_files(spark, source, SCHEMA)
+        weekly.prior_sums(stream, ["k"], ["ts", "id"], "v", target, checkpoint)
+    expected = [(i, sum(w for j, u, l, w in data if l == k and (u, j) < (ts, i))) for i, ts, k, _ in data]
+    assert sorted(rows(weekly.running_rows(spark, target, ["k"]), "id", "prior_sum")) == expected
