@@ -204,7 +204,8 @@ def labelled_rows(documents: DataFrame, labels: DataFrame, most: int = TRAINING_
     # Two rows, one per label.
     drawn = known.join(F.broadcast(sizes), "label").where(draw < share).select("doc_id", "label")
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(10)).cast("int").alias("fold")
-    return documents.select("doc_id", "text").join(drawn, "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label", fold)
+    # About `most` rows of two numbers at every corpus size, so the texts need no shuffle.
+    return documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label", fold)
 
 
 def toxicity(documents: DataFrame, labels: DataFrame, rounds: int = 20, depth: int = 4, seed: int = 11) -> DataFrame:
