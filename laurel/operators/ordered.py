@@ -3,7 +3,8 @@
 Every operator takes a total order. Groups whose rows fit one task are done with a plain window.
 Groups that do not fit are found by a count and cut into ordered chunks by a range repartition on
 (keys, order); each chunk is scanned on its own and receives the totals of the chunks before it, so
-one hot key never ends up in one task and no row is left out.
+one hot key never ends up in one task and no row is left out. A table without keys is one group and
+is always cut, without a count.
 """
 
 from __future__ import annotations
@@ -54,48 +55,82 @@ class OrderedGroups:
         self.keys = list(keys)
         self.order = [F.col(c) if isinstance(c, str) else c for c in order]
         self.order_names = [c if isinstance(c, str) else None for c in order]
-        self.df = df
+        # Rows of groups that fit one task (None if all are cut), and the rows of the large groups.
+        self.df: DataFrame | None = df
+        self.hot: DataFrame | None = None
+        self._hot_is_stored = False
+        self._whole: DataFrame | None = None
         self.chunked = False
         if max_rows is None:
             return
+        if not self.keys:
+            self._cut_everything()
+            return
         counts = df.groupBy(*self.keys).count().where(F.col("count") > max_rows)
         large, rows = counts.agg(F.count("count"), F.sum("count")).first()
         if large:
             self._cut(counts.drop("count"), large, max(2, ceil(2 * rows / max_rows)))
 
+    def _cut_everything(self) -> None:
+        """Cut a table without keys; adaptive execution decides how many ranges its size needs."""
+        chunks = int(self.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.carry_is_small = chunks <= BROADCAST_ROWS
+        self._store_chunks(self.df.repartitionByRange(*self.order))
+        self.df = None
+
     def _cut(self, large_keys: DataFrame, large: int, parts: int) -> None:
-        """Give the rows of large groups a chunk number; all other rows share chunk -1."""
-        self.chunked = True
+        """Separate the rows of large groups and give them chunk numbers; all other rows have chunk -1."""
         self.carry_is_small = large + parts <= BROADCAST_ROWS
-        hot, rest = self.df, None
-        if self.keys:
-            # At most (all rows / max_rows) keys, written so that both joins see the same list.
-            listed = stored_copy(large_keys.toDF(*[f"_h{i}" for i in range(len(self.keys))]))
-            if large <= BROADCAST_ROWS:
-                listed = F.broadcast(listed)
-            on = _same_keys(
-                [self.df[k] for k in self.keys], [listed[f"_h{i}"] for i in range(len(self.keys))]
-            )
-            hot, rest = self.df.join(listed, on, "left_semi"), self.df.join(listed, on, "left_anti")
-        # The written copy freezes the chunk of every row: range bounds come from a sample.
-        self.df = stored_copy(
-            hot.repartitionByRange(parts, *[F.col(k) for k in self.keys], *self.order).withColumn(
-                CHUNK, F.spark_partition_id()
-            )
+        # At most (all rows / max_rows) keys, written so that both joins see the same list.
+        listed = stored_copy(large_keys.toDF(*[f"_h{i}" for i in range(len(self.keys))]))
+        if large <= BROADCAST_ROWS:
+            listed = F.broadcast(listed)
+        on = _same_keys(
+            [self.df[k] for k in self.keys], [listed[f"_h{i}"] for i in range(len(self.keys))]
+        )
+        hot = self.df.join(listed, on, "left_semi")
+        self.df = self.df.join(listed, on, "left_anti").withColumn(CHUNK, F.lit(-1))
+        self._store_chunks(
+            hot.repartitionByRange(parts, *[F.col(k) for k in self.keys], *self.order)
         )
-        if rest is not None:
-            self.df = self.df.unionByName(rest.withColumn(CHUNK, F.lit(-1)))
+
+    def _store_chunks(self, ranged: DataFrame) -> None:
+        """Number the ranges. The written copy freezes the chunk of a row: bounds come from a sample."""
+        self.chunked = True
+        self.hot = stored_copy(ranged.withColumn(CHUNK, F.spark_partition_id()))
+        self._hot_is_stored = True
+
+    def _union(self) -> DataFrame:
+        return self.hot if self.df is None else self.df.unionByName(self.hot)
 
     def with_columns(self, columns: dict[str, Column]) -> OrderedGroups:
-        self.df = self.df.withColumns(columns)
+        """Append columns; their windows may span rows of large and of other groups."""
+        if self.chunked:
+            whole = self._union() if self._whole is None else self._whole
+            self._whole = whole.withColumns(columns)
+        else:
+            self.df = self.df.withColumns(columns)
         return self
 
+    def _store_hot(self) -> None:
+        """Before a scan the rows of large groups are a written table, so that plans do not nest."""
+        if self._whole is not None:
+            whole = stored_copy(self._whole)
+            self._whole = None
+            if self.df is not None:
+                self.df = whole.where(F.col(CHUNK) < 0)
+            self.hot = whole.where(F.col(CHUNK) >= 0)
+        elif not self._hot_is_stored:
+            self.hot = stored_copy(self.hot)
+
     def add(self, *prefixes: Prefix, reset: Sequence[str] = ()) -> OrderedGroups:
         """Append running values; they restart at every new value of the `reset` columns."""
         keys = self.keys + list(reset)
         if self.chunked:
-            self.df = self._chunked_scan(keys, prefixes)
-        else:
+            self._store_hot()
+            self.hot = self._chunked_scan(keys, prefixes)
+            self._hot_is_stored = False
+        if self.df is not None:
             self.df = self.df.withColumns(self._window_columns(keys, prefixes, fill=True))
         return self
 
@@ -112,16 +147,20 @@ class OrderedGroups:
                 for out, flag in flags.items()
             ]
         )
-        self.df = self.df.withColumns(
-            {
-                out: (F.col(f"_s_{out}") - F.coalesce(F.col(f"_z_{out}"), F.lit(0))).cast("bigint")
-                for out in flags
-            }
-        ).drop(*[f"{p}{out}" for out in flags for p in ("_s_", "_z_")])
+        streaks = {
+            out: (F.col(f"_s_{out}") - F.coalesce(F.col(f"_z_{out}"), F.lit(0))).cast("bigint") for out in flags
+        }
+        helpers = [f"{p}{out}" for out in flags for p in ("_s_", "_z_")]
+        if self.df is not None:
+            self.df = self.df.withColumns(streaks).drop(*helpers)
+        if self.hot is not None:
+            self.hot = self.hot.withColumns(streaks).drop(*helpers)
         return self
 
     def result(self) -> DataFrame:
-        return self.df.drop(CHUNK)
+        if not self.chunked:
+            return self.df
+        return (self._union() if self._whole is None else self._whole).drop(CHUNK)
 
     def _window_columns(self, keys, prefixes, fill: bool) -> dict[str, Column]:
         # A reset column is constant inside its window; left out of the order, the windows with and
@@ -137,11 +176,11 @@ class OrderedGroups:
 
     def _chunked_scan(self, keys, prefixes) -> DataFrame:
         chunk_keys = [*keys, CHUNK]
-        rows = self.df.withColumns(self._window_columns(chunk_keys, prefixes, fill=False))
+        rows = self.hot.withColumns(self._window_columns(chunk_keys, prefixes, fill=False))
         earlier = (
             Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         )
-        totals = self.df.where(F.col(CHUNK) >= 0).groupBy(*chunk_keys).agg(
+        totals = self.hot.groupBy(*chunk_keys).agg(
             *[_aggregate(p).alias(f"_t{i}") for i, p in enumerate(prefixes)]
         )
         # One row per chunk and group of the large keys: the window sees few rows per group.
@@ -219,7 +258,7 @@ def history_stats(
     (`max_rows=None`). With a limit, larger groups are done from the merged moments of chunks.
     """
     groups = OrderedGroups(df, keys, order, max_rows)
-    if not groups.chunked:
+    if groups.df is not None:
         frame = (
             Window.partitionBy(*keys).orderBy(*groups.order).rowsBetween(Window.unboundedPreceding, -1)
         )
@@ -227,8 +266,10 @@ def history_stats(
         for c in columns:
             stats[f"{c}_mean_{suffix}"] = F.avg(c).over(frame)
             stats[f"{c}_std_{suffix}"] = F.stddev_pop(c).over(frame)
-        return groups.df.withColumns(stats)
-    return _merged_stats(groups, columns, suffix)
+        groups.df = groups.df.withColumns(stats)
+    if groups.chunked:
+        groups.hot = _merged_stats(groups, columns, suffix)
+    return groups.result()
 
 
 def _merged_moments(a: Column, b: Column) -> Column:
@@ -252,15 +293,15 @@ def _moments(c: str, over: Window | None = None) -> Column:
 
 
 def _merged_stats(groups: OrderedGroups, columns: Sequence[str], suffix: str) -> DataFrame:
-    """`history_stats` of groups that are cut into chunks.
+    """`history_stats` of the rows of groups that are cut into chunks.
 
     Moments of the earlier rows of a row's chunk are merged with those of the earlier chunks; no squares of
     the values themselves are summed, so large values with a small spread keep their deviation.
     """
     chunk_keys = [*groups.keys, CHUNK]
     before = Window.partitionBy(*chunk_keys).orderBy(*groups.order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = groups.df.withColumns({f"_m_{c}": _moments(c, before) for c in columns})
-    totals = groups.df.where(F.col(CHUNK) >= 0).groupBy(*chunk_keys).agg(*[_moments(c).alias(f"_t_{c}") for c in columns])
+    rows = groups.hot.withColumns({f"_m_{c}": _moments(c, before) for c in columns})
+    totals = groups.hot.groupBy(*chunk_keys).agg(*[_moments(c).alias(f"_t_{c}") for c in columns])
     earlier = Window.partitionBy(*groups.keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     none = F.struct(*[F.lit(0.0).alias(x) for x in ("n", "mean", "m2")])
     carry = totals.select(
@@ -277,7 +318,7 @@ def _merged_stats(groups: OrderedGroups, columns: Sequence[str], suffix: str) ->
         stats[f"{c}_mean_{suffix}"] = F.when(some, moments["mean"])
         stats[f"{c}_std_{suffix}"] = F.when(some, F.sqrt(moments["m2"] / moments["n"]))
     helpers = [f"_k{i}" for i in range(len(chunk_keys))] + [f"{p}{c}" for c in columns for p in ("_m_", "_c_")]
-    return joined.withColumns(stats).drop(*helpers, CHUNK)
+    return joined.withColumns(stats).drop(*helpers)
 
 
 def number_groups(df, keys, name="group_id", max_rows=GROUP_ROWS) -> DataFrame:

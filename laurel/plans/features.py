@@ -200,17 +200,18 @@ def team_share_features(
     history: Sequence[str] = ("points", "assists", "plus_minus"),
     minutes: str = "minutes",
     plus_minus: str = "plus_minus",
+    own: Sequence[str] = (),
 ) -> DataFrame:
     """Player-week sums beside the team's sums of the week, with the player's earlier weeks.
 
-    Weeks without history are dropped.
+    `own` are further columns that are summed for the player only. Weeks without history are dropped.
     """
     team_keys = ["teamid", "season", "week_start"]
     team = box.groupBy(*team_keys).agg(
         *[F.sum(s).alias(f"team_{s}") for s in stats],
         F.count_distinct("gameid").alias("team_games"),
     )
-    sums = dict.fromkeys([minutes, *stats, *history])
+    sums = dict.fromkeys([minutes, *stats, *history, *own])
     player = box.groupBy(*WEEK_KEYS).agg(
         F.count_distinct("gameid").alias("games"),
         *[F.sum(c).alias(c) for c in sums],

@@ -110,8 +110,12 @@ def game_table(
     awards: DataFrame,
     honours: Mapping[str, DataFrame],
     since: str = "1979-01-01",
+    extended: bool = False,
 ) -> DataFrame:
-    """Player-game features. Inputs come from the `clean_*` functions."""
+    """Player-game features. Inputs come from the `clean_*` functions.
+
+    `extended` adds the honours of the season before.
+    """
     spark = games.sparkSession
     conferences = teams(spark).select(F.col("team_nickname").alias("teamid"), "conference")
     history = team_game_history(games, GameColumns(), where=f"gamedate >= '{since}'").withColumnsRenamed(
@@ -154,7 +158,10 @@ def game_table(
             "team_nickname": F.col("teamid"),
         }
     )
-    return with_team_shares(rows, conferences)
+    rows = with_team_shares(rows, conferences)
+    if extended:
+        rows = features.prior_season_honours(rows, box, honours).withColumnsRenamed(v.PRIOR_HONOUR_COLUMNS)
+    return rows
 
 
 def with_team_shares(rows: DataFrame, conferences: DataFrame) -> DataFrame:
@@ -168,6 +175,7 @@ def with_team_shares(rows: DataFrame, conferences: DataFrame) -> DataFrame:
         history=("points", "assists", "plusMinusPoints"),
         minutes="numMinutes",
         plus_minus="plusMinusPoints",
+        own=("win",),
     )
     names = {
         "games": "gms",
@@ -178,6 +186,7 @@ def with_team_shares(rows: DataFrame, conferences: DataFrame) -> DataFrame:
         "steals": "stl_sum",
         "plusMinusPoints": "pm_sum",
         "plusMinusPoints_mean": "pm_mean",
+        "win": "wins",
         "team_points": "team_pts",
         "team_assists": "team_ast",
         "team_blocks": "team_blk",
@@ -204,12 +213,15 @@ def weekly_table(
     game_rows: DataFrame,
     prior_honours: Mapping[str, DataFrame] | None = None,
     extended: bool = False,
+    played: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Weekly features of `game_table` with percentages, breakout and league scores.
 
-    `extended` adds the banded game counts; `prior_honours` adds the honours of the season before.
+    `extended` adds the banded game counts; `prior_honours` adds the honours of the season before;
+    `played`, the cleaned games and box scores, adds the team's running win rate of the week.
     """
-    inner = game_rows.withColumnsRenamed(
+    prior = list(v.PRIOR_HONOUR_COLUMNS.values())
+    inner = game_rows.drop(*prior).withColumnsRenamed(
         {
             "won_player_of_the_week": "won_award",
             "opponent_has_all_nba": "opponent_has_elite",
@@ -231,7 +243,9 @@ def weekly_table(
     weekly = features.breakout(weekly, v.BREAKOUT, order=("week_start", "teamid", "conference"))
     weekly = features.league_normalise(weekly, list(v.BREAKOUT))
     if prior_honours:
-        weekly = features.prior_season_honours(weekly, inner, prior_honours)
+        weekly = features.prior_season_honours(weekly, inner, prior_honours).withColumnsRenamed(v.PRIOR_HONOUR_COLUMNS)
+    if played:
+        weekly = with_win_rates(weekly, *played)
     return weekly.withColumnsRenamed(
         {
             "teamid": "team",
@@ -250,6 +264,22 @@ def weekly_table(
     )
 
 
+def with_win_rates(weekly: DataFrame, games: DataFrame, statistics: DataFrame) -> DataFrame:
+    """Mean and spread in the week of the team's running win rate over regular-season games."""
+    team_games = statistics.select(
+        F.col("gameId").alias("gameid"),
+        "gamedate",
+        F.col("playerteamName").alias("teamid"),
+        dates.season_by_rules(F.col("gamedate"), v.SEASON_RANGES).alias("season"),
+        dates.week_start(F.col("gamedate")).alias("week_start"),
+        "win",
+    ).where(F.col("season").isNotNull())
+    rows = features.win_pct_features(
+        weekly, team_games, games.select("gameid", "gametype"), v.CURRENT_SEASON, v.OPENING_DAY
+    )
+    return rows.withColumnsRenamed(v.WIN_RATE_COLUMNS)
+
+
 def write_tables(game_rows: DataFrame, weekly: DataFrame, folder: str) -> None:
     """Both tables under their published names; the game rows are split by season."""
     game_rows.write.mode("overwrite").partitionBy("season").parquet(f"{folder}/features-overall")

@@ -190,3 +190,18 @@ HONOUR_COLUMNS = {
     "third_team": "all_nba_third_team_this_season",
 }
 BREAKOUT = {"points": 0.5, "assists": 0.3, "plusMinusPoints": 0.2}
+PRIOR_HONOUR_COLUMNS = {
+    "all_star_last_season": "all_star_last_season",
+    "mvp_last_season": "mvp_last_season",
+    "first_team_last_season": "all_nba_first_team_last_season",
+    "second_team_last_season": "all_nba_second_team_last_season",
+    "third_team_last_season": "all_nba_third_team_last_season",
+}
+WIN_RATE_COLUMNS = {
+    "avg_win_pct_this_week": "avg_full_season_win_pct_this_week",
+    "win_pct_spread_this_week": "full_season_win_pct_max_minus_min_this_week",
+}
+
+# The running season and its first regular game; earlier games of it are preseason.
+CURRENT_SEASON = 2025
+OPENING_DAY = "2025-10-21"

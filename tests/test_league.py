@@ -61,13 +61,17 @@ def tables(spark):
         spark.createDataFrame([(11, 2022)], "player_id int, `Selection Year` int"),
         *[spark.createDataFrame([(i, "2021-22")], "player_id int, Season string") for i in (11, 11, 31, 99)],
     )
-    rows = league.game_table(
+    played = (
         league.clean_games(frame(spark, games, v.GAMES_SCHEMA)),
         league.clean_player_statistics(frame(spark, box, v.PLAYER_STATISTICS_SCHEMA)),
+    )
+    rows = league.game_table(
+        *played,
         league.clean_awards(frame(spark, awards, v.AWARDS_SCHEMA), spark),
         lists,
+        extended=True,
     ).cache()
-    weekly = league.weekly_table(rows, lists, extended=True).cache()
+    weekly = league.weekly_table(rows, lists, extended=True, played=played).cache()
     return games, box, rows, weekly
 
 
@@ -80,6 +84,17 @@ def by_week(box):
     return weeks
 
 
+def running_rates(box, team):
+    """Win rate of a team after each of its games, by week."""
+    won = {(r["gameDateTimeEst"], r["gameId"]): r["win"] for r in box if r["playerteamName"] == team}
+    rates = defaultdict(list)
+    for n, (date, game) in enumerate(sorted(won), start=1):
+        day = dt.date.fromisoformat(date[:10])
+        wins = sum(w for key, w in won.items() if key <= (date, game))
+        rates[day - dt.timedelta(days=day.weekday())].append(wins / n)
+    return rates
+
+
 def test_game_rows(tables):
     _, box, rows, _ = tables
     expected = {(r["personId"], r["gameId"]): r for k, rs in by_week(box).items() for r in rs if k[1] != START}
@@ -91,6 +106,9 @@ def test_game_rows(tables):
         assert r.won_player_of_the_week == int(r.player_id in (11, 42))
         assert r.opponent_has_all_nba == int(source["opponentteamName"] in ("Celtics", "Lakers"))
         assert r.win == source["win"]
+        week = by_week(box)[r.player_id, r.week_start]
+        assert r.wins == sum(g["win"] for g in week)
+        assert r.all_nba_first_team_last_season == 0  # no earlier season
 
 
 def test_published_columns(tables):
@@ -98,13 +116,13 @@ def test_published_columns(tables):
     wanted = {
         "day", "week", "month", "year", "pow_player_id", "player_of_the_week", "pow_conference", "gms", "min_sum",
         "pts_sum", "ast_sum", "pm_mean", "team_pts", "team_gms", "pts_sum_mean_season", "pm_sum_std_season",
-        "all_star_this_season", "wins_vs_team_with_all_nba_player", "record_prior", "opp_winrate_prior",
+        "all_star_this_season", "wins", "all_nba_third_team_last_season", "wins_vs_team_with_all_nba_player", "record_prior", "opp_winrate_prior",
     }
     assert wanted <= set(rows.columns)
     wanted = {
         "team", "games_played_this_week", "wins_this_week", "avg_opp_score", "avg_opp_winrate_prior", "breakout_score",
         "z_pts", "z_pm", "z_s_ast", "freeThrowsPercentage", "games_w_points_between_10_19", "games_w_blocks_15_plus",
-        "mvp_last_season", "all_star_last_season",
+        "mvp_last_season", "all_star_last_season", "all_nba_second_team_last_season",
     }
     assert wanted <= set(weekly.columns)
 
@@ -135,6 +153,9 @@ def test_weekly_rows(tables):
         z = (r.points - fmean(earlier)) / sd if sd > 0 else 0.0
         assert r.z_pts == pytest.approx(z)
         assert r.z_s_pts == 0  # no earlier season
+        rates = running_rates(box, r.team)[week]
+        assert r.avg_full_season_win_pct_this_week == pytest.approx(fmean(rates))
+        assert r.full_season_win_pct_max_minus_min_this_week == pytest.approx(max(rates) - min(rates))
 
 
 def test_placeholder_awards_open_the_next_week(spark):

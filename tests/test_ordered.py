@@ -129,3 +129,25 @@ def test_members_are_one_row_per_group(spark):
     assert got[1] == (list(range(25)), 25) and got[2] == ([5], 1)
     asked = rollup.membership(df, ["g"], "m", {"has_7": (7,), "any_of": (5, 99)}).collect()
     assert sorted(map(tuple, asked)) == [(1, 25, True, True), (2, 1, False, True), (3, 0, False, False)]
+
+
+def test_cut_plans_grow_with_the_prefixes_only(skewed):
+    """A forced cut reads its stored rows as often after five passes as after one."""
+    def reads(passes):
+        groups = OrderedGroups(skewed, ["k"], ["wk", "d", "id"], max_rows=30)
+        for i in range(passes):
+            groups.add(Prefix(f"p{i}", "sum", F.col("v")))
+        assert groups.chunked
+        return groups.hot._jdf.queryExecution().optimizedPlan().toString().count("Relation")
+
+    assert reads(5) == reads(1) == 2
+
+
+def test_tables_without_keys_are_ranked_in_ranges(spark):
+    rows_in = spark.range(5000).withColumn("v", F.col("id") * 37 % 5000)
+    groups = OrderedGroups(rows_in, [], ["v"])
+    assert groups.chunked and groups.df is None
+    got = groups.add(Prefix("rank", "count", current=True)).result()
+    assert got.where("rank <> v + 1").count() == 0 and got.count() == 5000
+    empty = ordered.rank_rows(rows_in.where("id < 0"), [], ["v"])
+    assert empty.count() == 0
