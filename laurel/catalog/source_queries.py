@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from laurel.catalog import bindings as b
+from laurel.catalog.bindings import oracle
 from laurel.catalog.registry import query
 from laurel.functions import dates
+from laurel.plans import league
 from laurel.session import broadcast_bounded, scratch_path
 from laurel.sources import database, pages, tables
 
@@ -86,6 +89,47 @@ def src_6(t):
     return pages.extract_links(t.pages)
 
 
+def award_pages(awards):
+    """One award page per season: a box per week, marked winners in one paragraph, unmarked ones in another."""
+    date, conference = F.col("date"), F.col("conference")
+    name = F.concat(F.lit("Player "), F.col("player_id").cast("string"))
+    mark = F.when(conference < 2, "Eastern").otherwise("Western")
+    link = F.when(
+        conference < 4, F.format_string('<a data-desc="%s Conference Player of the Week">%s</a>', mark, name)
+    ).otherwise(F.format_string("<a>%s</a>", name))
+    first = dates.season_of(date)
+    week = awards.withColumn("marked", conference < 4).groupBy("date", "marked").agg(
+        F.array_join(F.sort_array(F.collect_list(link)), "").alias("links")
+    )
+    paragraph = F.format_string("<p><strong>%s</strong>%s</p>", F.date_format("date", "MMM d"), F.col("links"))
+    box = F.format_string(
+        '<div class="data_grid_box"><div class="gridtitle">%s</div>%s</div>', F.date_format("date", "MMMM"), paragraph
+    )
+    # A season has at most 54 weeks.
+    return week.groupBy(first.alias("page_id")).agg(F.array_join(F.collect_list(box), "").alias("boxes")).select(
+        F.col("page_id").cast("bigint").alias("page_id"),
+        F.format_string(
+            '<div class="data_grid_group"><h3>%d-%02d</h3>%s</div>',
+            F.col("page_id"), (F.col("page_id") + 1) % 100, F.col("boxes"),
+        ).alias("html"),
+    )
+
+
+@query(
+    "src_6_awards",
+    oracle("""
+SELECT season || '-' || lpad(CAST((season + 1) % 100 AS VARCHAR), 2, '0') AS season, date,
+       CAST(YEAR(date) AS INTEGER) AS year, CAST(weekofyear(date) AS INTEGER) AS week, letter AS conference,
+       'Player ' || player_id AS player,
+       CAST(CASE WHEN COUNT(*) OVER (PARTITION BY date, letter) > 1 THEN 1 ELSE 0 END AS INTEGER) AS tie
+FROM (SELECT player_id, date, CASE WHEN conference < 2 THEN 'E' WHEN conference < 4 THEN 'W' ELSE 'A' END AS letter,
+             CASE WHEN MONTH(date) >= 7 THEN YEAR(date) ELSE YEAR(date) - 1 END AS season FROM b3) q"""),
+)
+def src_6_awards(t):
+    rows = pages.extract_award_rows(award_pages(b.awards(t)))
+    return league.award_list(rows).select("season", "date", "year", "week", "conference", "player", "tie")
+
+
 @query(
     "src_7",
     """
