@@ -191,10 +191,11 @@ def with_features(documents: DataFrame, terms: np.ndarray, weights: np.ndarray)
 
 
 def labelled_rows(documents: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> DataFrame:
-    """(doc_id, text, label, fold) to learn from: labelled, not held out, a sample of about `most` rows.
+    """(doc_id, text, label, stands_for, fold) to learn from: labelled, not held out, a sample of about `most` rows.
 
-    The sample goes by a hash of the id, and keeps all of the rarer label that half of `most` allows. Ids with
-    contradicting labels, null labels and repeated ids give the larger label once.
+    The sample goes by a hash of the id, and keeps all of the rarer label that half of `most` allows. `stands_for`
+    is the number of rows that a drawn one stands for; as weights, they keep the labels in their true proportion.
+    Ids with contradicting labels, null labels and repeated ids give the larger label once.
     """
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     known = known.where(~held_out(F.col("doc_id")))
@@ -202,22 +203,27 @@ def labelled_rows(documents: DataFrame, labels: DataFrame, most: int = TRAINING_
     sizes = known.groupBy("label").agg(F.count("*").alias("n"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     # Two rows, one per label.
-    drawn = known.join(F.broadcast(sizes), "label").where(draw < share).select("doc_id", "label")
+    stands_for = F.greatest(1 / share, F.lit(1.0)).alias("stands_for")
+    drawn = known.join(F.broadcast(sizes), "label").where(draw < share).select("doc_id", "label", stands_for)
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(10)).cast("int").alias("fold")
-    # About `most` rows of two numbers at every corpus size, so the texts need no shuffle.
-    return documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label", fold)
+    # About `most` rows of three numbers at every corpus size, so the texts need no shuffle.
+    return documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label", "stands_for", fold)
 
 
-def toxicity(documents: DataFrame, labels: DataFrame, rounds: int = 20, depth: int = 4, seed: int = 11) -> DataFrame:
+def toxicity(
+    documents: DataFrame, labels: DataFrame, rounds: int = 20, depth: int = 4, seed: int = 11, most: int = TRAINING_ROWS
+) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 
     The labelled documents that are not held out, a bounded sample of them, are dealt into folds: five teach
     the lexicon, three the trees and two the isotonic calibration, so that no part is fitted on what an
-    earlier one has seen. Scores use the whole text of every document and nothing else; empty and null texts
-    have features 0 and a score like others. Repeated and null ids get a row each. Without labels of both
-    kinds the score is the share of label 1 (0 without any). Further columns are ignored.
+    earlier one has seen. Trees and calibration weigh each row by those it was drawn for, so a score is a chance
+    under the labels' own proportion, however much was thinned. Scores use the whole text of every document
+    and nothing else; empty and null texts have features 0 and a score like others. Repeated and null ids get
+    a row each. Without labels of both kinds the score is the share of label 1 (0 without any). Further
+    columns are ignored.
     """
-    training = stored_copy(labelled_rows(documents, labels))
+    training = stored_copy(labelled_rows(documents, labels, most))
     held = held_out(F.col("doc_id")).alias("held_out")
     kinds = {r.label: r.n for r in training.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(kinds) < 2:
@@ -227,17 +233,17 @@ def toxicity(documents: DataFrame, labels: DataFrame, rounds: int = 20, depth: i
     terms, weights = learn_lexicon(training.where("fold < 5"))
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     rest = training.where("fold >= 5")
-    features = with_features(rest, terms, weights).join(rest.select("doc_id", "label", "fold"), "doc_id")
+    features = with_features(rest, terms, weights).join(rest.select("doc_id", "label", "stands_for", "fold"), "doc_id")
     features = stored_copy(features)
-    rest = assembler.transform(features).select("features", F.col("label").cast("double").alias("label"), "fold")
+    rest = assembler.transform(features).select("features", F.col("label").cast("double").alias("label"), "stands_for", "fold")
     grown = rest.where("fold < 8").cache()
     if grown.select("label").distinct().count() < 2:
         grown = rest.cache()
-    trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.2, seed=seed, minInstancesPerNode=5, maxBins=64).fit(grown)
+    trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.2, seed=seed, weightCol="stands_for", minInstancesPerNode=5, maxBins=64).fit(grown)
     grown.unpersist()
     raw = vector_to_array("probability")[1].alias("raw")
-    calibration = trees.transform(rest.where("fold >= 8")).select(raw, "label")
-    calibrated = IsotonicRegression(featuresCol="raw", labelCol="label").fit(calibration) if not calibration.isEmpty() else None
+    calibration = trees.transform(rest.where("fold >= 8")).select(raw, "label", "stands_for")
+    calibrated = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="stands_for").fit(calibration) if not calibration.isEmpty() else None
     scored = trees.transform(assembler.transform(with_features(documents, terms, weights))).select("doc_id", raw)
     if calibrated is not None:
         scored = calibrated.transform(scored).withColumnRenamed("prediction", "score")

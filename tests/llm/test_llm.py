@@ -423,6 +423,17 @@ def test_toxicity_on_held_out_rows(spark):
     assert {x.score for x in none} == {0.0} and toxicity.toxicity(docs.limit(0), marks, rounds=2).count() == 0
 
 
+def test_thinned_labels_keep_their_base_rate(spark):
+    # Texts tell nothing about the label, so scores have to be near the share of label 1.
+    docs = made(spark, [(k, prose(k, 12), "en", "s") for k in range(3000)])
+    marks = spark.createDataFrame([(k, int(random.Random(k).random() < 0.1)) for k in range(3000)], "doc_id long, toxic int")
+    known = toxicity.labelled_rows(docs, marks, most=400).groupBy("label").agg({"stands_for": "sum", "label": "count"}).collect()
+    kept, stands = {r.label: r["count(label)"] for r in known}, {r.label: r["sum(stands_for)"] for r in known}
+    assert kept[0] < 260 and kept[1] > 150 and 0.08 < stands[1] / (stands[0] + stands[1]) < 0.13
+    got = toxicity.toxicity(docs, marks, rounds=5, depth=2, most=400).collect()
+    assert 0.04 < np.mean([x.score for x in got]) < 0.2 and np.mean([x.predicted for x in got]) < 0.1
+
+
 def test_text_features_by_hand():
     data, ends = tasks.string_bytes(pa.array(["idiot"]))
     term = tasks.word_hashes(data, ends, toxicity._LETTERS)[0]
