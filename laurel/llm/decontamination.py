@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from laurel.llm.tasks import gram_hashes, mixed, run_hashes, sliced, string_bytes
 from laurel.session import stored_copy
@@ -166,7 +166,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, least:
     words, are joined by hash. In a stretch of the document twice as long as the item, the item's words that
     matched windows cover must be a share of `least` or more, and slots must be filled consistently: a value
     of the item goes to one value of the document for at least a share `consistent` of its values, as in a
-    question asked again with other numbers. Of several stretches the best counts.
+    question asked again with other numbers. Of several stretches the best counts. A word of the item that
+    windows align with several places, as clauses of one template do, takes its value from the alignment that
+    covers most words of the item, or its own value where it met that: whichever agrees better.
 
     Windows of the corpus are first held against a Bloom filter of the benchmark's windows. The filter has a
     fixed size, so it may be sent to every task whatever the benchmark; what passes is joined by shuffle.
@@ -186,16 +188,36 @@ def leaks(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, least:
     start = F.floor((F.col("place") - F.col("item_place")) / F.col("item_words"))
     met = met.withColumn("stretch", F.explode(F.array(start, start - 1)))
     pairs = F.explode(F.arrays_zip(F.sequence(F.lit(0), F.lit(size - 1)).alias("k"), "item_slots", "slots")).alias("x")
-    met = met.select("doc_id", "item_id", "stretch", "item_words", "item_place", pairs)
-    words = met.select("doc_id", "item_id", "stretch", "item_words", (F.col("item_place") + F.col("x.k")).alias("word"), F.col("x.item_slots").alias("asked"), F.col("x.slots").alias("given"))
-    words = words.groupBy("doc_id", "item_id", "stretch", "item_words", "word").agg(F.max("asked").alias("asked"), F.max("given").alias("given"))
+    # All that follows is grouped within a document and item, so this is the only shuffle of the matches.
+    met = met.repartition("doc_id", "item_id")
+    met = met.select("doc_id", "item_id", "stretch", "item_words", "item_place", (F.col("place") - F.col("item_place")).alias("shift"), pairs)
+    zone = ["doc_id", "item_id", "stretch", "item_words"]
+    words = met.select(*zone, "shift", (F.col("item_place") + F.col("x.k")).alias("word"), F.col("x.item_slots").alias("asked"), F.col("x.slots").alias("given"))
+    # In one alignment a word meets one word; a reading that has it as a slot goes before one that does not.
+    own = F.col("asked") == F.col("given")
+    value = F.max(F.struct((F.col("asked") != 0).alias("slot"), own.alias("own"), "asked", "given")).alias("value")
+    words = words.groupBy(*zone, "shift", "word").agg(value).select(*zone, "shift", "word", "value.*")
+    words = words.withColumn("reach", F.count("*").over(Window.partitionBy(*zone, "shift")))
+    # Two choices for each word: what the alignment of most words gives it, and its own value where it met that.
+    aligned = F.max(F.struct("reach", "own", "slot", "asked", "given", "shift")).alias("aligned")
+    equal = F.max(F.struct("own", "slot", "reach", "asked", "given", "shift")).alias("equal")
+    words = words.groupBy(*zone, "word").agg(aligned, equal)
     # Bounded by the words of the item.
-    both = F.collect_set(F.when(F.col("asked") != 0, F.struct("asked", "given")))
-    values = F.collect_set(F.when(F.col("asked") != 0, F.col("asked")))
-    zones = words.groupBy("doc_id", "item_id", "stretch", "item_words").agg(F.count("*").alias("covered"), F.size(both).alias("pairs"), F.size(values).cast("long").alias("slots"))
-    # Every value beyond one for a slot value is a contradiction.
-    agreed = F.when(F.col("slots") > 0, 1 - (F.col("pairs") - F.col("slots")) / F.col("slots")).otherwise(F.lit(1.0))
-    zones = zones.withColumn("consistency", F.greatest(agreed, F.lit(0.0))).withColumn("share", F.col("covered") / F.col("item_words"))
+    sets = []
+    for choice in ("aligned", "equal"):
+        slot = F.col(f"{choice}.slot")
+        sets.append(F.size(F.collect_set(F.when(slot, F.struct(f"{choice}.asked", f"{choice}.given")))).alias(f"{choice}_pairs"))
+        sets.append(F.size(F.collect_set(F.when(slot, F.col(f"{choice}.asked")))).cast("long").alias(f"{choice}_slots"))
+    zones = words.groupBy(*zone).agg(F.count("*").alias("covered"), *sets)
+
+    def judged(choice: str) -> Column:
+        # Every value beyond one for a slot value is a contradiction.
+        pairs, slots = F.col(f"{choice}_pairs"), F.col(f"{choice}_slots")
+        agreed = F.when(slots > 0, 1 - (pairs - slots) / slots).otherwise(F.lit(1.0))
+        return F.struct(F.greatest(agreed, F.lit(0.0)).alias("consistency"), slots.alias("slots"))
+
+    zones = zones.withColumn("judged", F.greatest(judged("aligned"), judged("equal"))).select(*zone, "covered", "judged.*")
+    zones = zones.withColumn("share", F.col("covered") / F.col("item_words"))
     zones = zones.where((F.col("share") >= least) & (F.col("consistency") >= consistent))
     best = F.max(F.struct("covered", "consistency", "slots", "share")).alias("best")
     out = zones.groupBy("doc_id", "item_id", "item_words").agg(best)

@@ -398,6 +398,22 @@ def test_slots_have_to_agree(spark):
     assert decontamination.leaks(docs, twice).count() == 0
 
 
+def fair(rounds, seed):
+    r = random.Random(seed)
+    names, fruit = ["cook", "smith", "judge", "miller"], ["pears", "plums", "figs", "nuts"]
+    return " ".join(f"In round {k + 1} of the fair she sold {r.randint(2, 40)} ripe {r.choice(fruit)} to the {r.choice(names)}." for k in range(rounds))
+
+
+def test_verbatim_copies_of_repeated_clauses(spark):
+    items = [(k, fair(3 + k % 4, k)) for k in range(80)]
+    # Sentences on Anna, Bertha and others: names as slots of a template that repeats.
+    items += [(80 + k, " ".join(f"then on that day {a} gave the ball to {b} again," for a, b in zip(x, x[1:]))) for k in range(20) for x in [random.Random(k).sample(["Anna", "Bertha", "Carla", "Dora", "Emma", "Frida"], 5)]]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = made(spark, [(i, prose(900 + i, 20) + ". " + t + " " + prose(400 + i, 20), "en", "s") for i, t in items])
+    found = {r.item_id: r for r in decontamination.leaks(docs, benchmark).where("doc_id = item_id").collect()}
+    assert set(found) == {i for i, _ in items} and min(r.consistency for r in found.values()) == 1.0
+
+
 # Toxicity
 
 
