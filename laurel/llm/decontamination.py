@@ -94,7 +94,11 @@ def canonical_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def _windows(column: pa.Array, size: int) -> tuple[np.ndarray, ...]:
-    """(hash, text number, first word, slot values of the window) of every template window, both readings."""
+    """(hash, text number, first word, slot values of the window) of every window, in all readings.
+
+    Names are words, or slots, in windows of at least LITERALS words. A window with more slots than that is
+    taken with its real words and no placeholders, so that verbatim copies match whatever their share of slots.
+    """
     words, named, slots, at = canonical_words(column)
     owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
     count = max(0, len(words) - size + 1)
@@ -103,11 +107,16 @@ def _windows(column: pa.Array, size: int) -> tuple[np.ndarray, ...]:
     within = np.arange(count) + size <= at[owner[:count] + 1]
     views = np.lib.stride_tricks.sliding_window_view
     out = []
-    for reading, values in ((0, words), (1, named)):
-        fixed = (values == _NUMBER) | (values == _UNIT) | (values == _NAME)
-        use = within & (views(fixed, size).sum(axis=1) <= size - LITERALS)
-        if reading:
-            use &= views(values != words, size).any(axis=1)
+    typed = (words == _NUMBER) | (words == _UNIT)
+    dense = views(typed, size).sum(axis=1) > size - LITERALS
+    for reading, values in ((0, words), (1, named), (2, np.where(typed, slots, words))):
+        fixed = typed | (values == _NAME)
+        if reading == 0:
+            use = within & ~dense
+        elif reading == 1:
+            use = within & (views(fixed, size).sum(axis=1) <= size - LITERALS) & views(values != words, size).any(axis=1)
+        else:
+            use = within & dense
         first = np.flatnonzero(use)
         kept = np.where(fixed, slots, np.uint64(0))
         out.append((gram_hashes(values, size)[first], owner[first], first - at[owner[first]], views(kept, size)[first]))
@@ -118,7 +127,7 @@ _ROWS = "key long, id long, place int, slots array<long>"
 
 
 def _window_rows(texts: DataFrame, id_column: str, size: int, bits: np.ndarray | None = None) -> DataFrame:
-    """(key, id, place, slots) of the template windows of `texts`, with `bits` those that pass the filter only."""
+    """(key, id, place, slots) of the windows of `texts`, with `bits` those that pass the filter only."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", BATCH_BYTES):
@@ -163,7 +172,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, least:
 
     Texts become templates: numbers, units and names give way to typed slots, in one reading with names as
     words and in one with names as slots. Windows of `size` template words, of which at least LITERALS are
-    words, are joined by hash. In a stretch of the document twice as long as the item, the item's words that
+    words, are joined by hash; windows with fewer are joined by their real words. In a stretch of the document twice as long as the item, the item's words that
     matched windows cover must be a share of `least` or more, and slots must be filled consistently: a value
     of the item goes to one value of the document for at least a share `consistent` of its values, as in a
     question asked again with other numbers. Of several stretches the best counts. A word of the item that

@@ -414,6 +414,16 @@ def test_verbatim_copies_of_repeated_clauses(spark):
     assert set(found) == {i for i, _ in items} and min(r.consistency for r in found.values()) == 1.0
 
 
+def test_verbatim_copies_of_many_slots(spark):
+    items = [(1, "from 3 kg to 5 kg in 2 hours"), (2, "12 7 19 30 4 8"), (3, "add 12 km 7 m and 30 cm 4 mm to 8 km 9 m")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(i, prose(70 + i, 30) + " " + t + " " + prose(80 + i, 30), "en", "s") for i, t in items]
+    # Other numbers in other words are no copy.
+    rows += [(9, prose(90, 30) + " 13 8 20 31 5 9 " + prose(91, 30), "en", "s"), (10, "to 4 kg after 6 km by 9 days", "en", "s")]
+    found = decontamination.leaks(made(spark, rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 2), (3, 3)} and {r.share for r in found} == {1.0}
+
+
 # Toxicity
 
 
