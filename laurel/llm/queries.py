@@ -55,7 +55,7 @@ def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write_archives(warc.with_record_types(table(spark, sf_dir, "pages")), scratch_path(spark))
-    return warc.page_records(warc.read_archives(archives))
+    return warc.page_records(warc.read_archives(archives, counted=True))
 
 
 @query

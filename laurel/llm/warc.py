@@ -265,31 +265,49 @@ def salvaged(file, most: int = 1 << 30) -> Iterator[dict]:
         offset = after
 
 
-def read_archives(archives: DataFrame) -> DataFrame:
+def archive_rows(path: str, records: int | None = None) -> Iterator[dict]:
+    """Rows of `salvaged` of one archive with its path; a missing file is a gap of unknown length.
+
+    Any other error of the store is raised, also amid the archive, as is another number of records than `records`.
+    """
+    system, inside = file_system(path)
+    found = 0
+    try:
+        file = system.open_input_file(inside)
+    except FileNotFoundError as problem:
+        yield {"path": path, "kind": "gap", "reason": str(problem)}
+    else:
+        with file:
+            for row in salvaged(file):
+                found += row["kind"] == "record"
+                yield row | {"path": path}
+    if records is not None and found != records:
+        raise RuntimeError(f"{path}: {found} of {records} records can be read")
+
+
+def read_archives(archives: DataFrame, counted: bool = False) -> DataFrame:
     """Records and gaps of the archives in column `path`, one task for each archive; see `salvaged`.
 
-    An archive that cannot be opened is a gap of unknown length. Nulls in `path` are left out.
+    An archive that does not exist is a gap of unknown length. Other read errors fail the task, which Spark
+    tries again. If `counted`, column `records` has the records that each archive must give, as in the result
+    of `write_archives`, and any other number is an error. Nulls in `path` are left out.
     """
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column("path").to_pylist():
+            counts = batch.column("records").to_pylist() if counted else [None] * batch.num_rows
+            for path, count in zip(batch.column("path").to_pylist(), counts):
                 rows, held = [], 0
-                try:
-                    system, inside = file_system(path)
-                    with system.open_input_file(inside) as file:
-                        for row in salvaged(file):
-                            rows.append(row | {"path": path})
-                            held += len(row.get("payload") or b"") + 500
-                            if held > STEP * 16:
-                                yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
-                                rows, held = [], 0
-                except OSError as problem:
-                    rows.append({"path": path, "kind": "gap", "reason": str(problem)})
+                for row in archive_rows(path, count):
+                    rows.append(row)
+                    held += len(row.get("payload") or b"") + 500
+                    if held > STEP * 16:
+                        yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
+                        rows, held = [], 0
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
 
-    paths = archives.where("path is not null").select("path")
+    paths = archives.where("path is not null").select("path", *["records"] * counted)
     count = max(1, int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return paths.repartition(count, "path").mapInArrow(records, RECORDS)
 

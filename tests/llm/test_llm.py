@@ -328,6 +328,39 @@ def test_warc_salvage(compress):
     assert [r["kind"] for r in warc.salvaged(io.BytesIO(b""))] == []
 
 
+def test_warc_read_errors_are_no_gaps(spark, tmp_path, monkeypatch):
+    data = b"".join(gzip.compress(warc.record_bytes(k, None, random.Random(k).randbytes(1000), None, "2024-01-01T00:00:00Z")) for k in range(600))
+
+    class Failing(io.BytesIO):
+        def read(self, n=-1):
+            if self.tell():
+                raise OSError("lost mount")
+            return super().read(n)
+
+    class Store:
+        def open_input_file(self, path):
+            return Failing(data)
+
+    monkeypatch.setattr(warc, "file_system", lambda path: (Store(), path))
+    with pytest.raises(OSError, match="lost mount"):
+        list(warc.archive_rows("x"))
+    monkeypatch.undo()
+    folder = lambda path: spark.createDataFrame([(path, 2)], "path string, records long")
+    # A folder cannot be read; a missing file is a gap, and an error where records are counted.
+    with pytest.raises(Exception, match="directory"):
+        warc.read_archives(folder(str(tmp_path))).collect()
+    missing = folder(f"{tmp_path}/none.warc")
+    assert [r.kind for r in warc.read_archives(missing).collect()] == ["gap"]
+    with pytest.raises(Exception, match="0 of 2 records"):
+        warc.read_archives(missing, counted=True).collect()
+    pages = spark.createDataFrame(page_rows(), "page_id long, url string, html string")
+    archives = warc.write_archives(warc.with_record_types(pages), str(tmp_path / "archives"))
+    assert warc.read_archives(archives, counted=True).where("kind = 'record'").count() == len(page_rows())
+    more = archives.selectExpr("path", "records + 1 as records")
+    with pytest.raises(Exception, match="records can be read"):
+        warc.read_archives(more, counted=True).collect()
+
+
 # Language
 
 
