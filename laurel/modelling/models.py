@@ -200,11 +200,13 @@ def season_search(
 ) -> DataFrame:
     """Top-1 hit rate of every setting on every season-forward fold.
 
-    `fit_and_score(train, validation, setting)` returns the validation rows with a `score`.
+    `fit_and_score(train, validation, setting)` returns the validation rows with a `score`. A fold without
+    training rows has 0 groups and a null rate for each setting.
     """
     grid, rows = list(grid), []
     for season, train, validation in season_folds(df, folds):
         if train.isEmpty():
+            rows += [(i, str(dict(setting)), season, 0, None) for i, setting in enumerate(grid)]
             continue
         for i, setting in enumerate(grid):
             scored = fit_and_score(train, validation, setting)

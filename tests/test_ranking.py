@@ -3,7 +3,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from conftest import rows
 from laurel.modelling import models, splits
 from laurel.operators import ranking
 
@@ -96,3 +98,11 @@ def test_repeat_positives_keeps_all_rows(spark):
     balanced = models.repeat_positives(df, "y")
     assert balanced.select("id").distinct().count() == 50
     assert balanced.where("y = 1").count() == 45
+
+
+def test_season_search_lists_folds_without_training_rows(spark):
+    df = spark.createDataFrame([(1, 1, 1, 1), (1, 1, 2, 0), (2, 2, 1, 1), (2, 2, 2, 0)], "season int, week int, player int, y int")
+    score = lambda train, validation, setting: validation.withColumn("score", F.col("y") * 1.0)
+    found = models.season_search(df, [{"a": 1}], score, ["week"], "player", folds=5)
+    assert rows(found, "season", "groups", "top_1_hit_rate") == [(1, 0, None), (2, 1, 1.0)]
+    assert models.best_setting(found).first().mean_top_1 == 1.0
