@@ -145,5 +145,16 @@ def language_of_documents(documents: DataFrame) -> DataFrame:
 
 
 def keep_known_languages(documents: DataFrame) -> DataFrame:
-    """`documents` without those whose language cannot be told: no text, or not a letter in it."""
-    return language_of_documents(documents).where(F.col("lang_pred") != UNKNOWN).select("row.*")
+    """`documents` without those whose language cannot be told: no text, or not a letter in it.
+
+    Also where nothing was learnt, as without any language given: texts with a letter stay.
+    """
+    profiles = learn_profiles(documents.where(~held_out(F.col("doc_id"))))
+    if profiles:
+        return identify(documents, profiles).where(F.col("lang_pred") != UNKNOWN).select("row.*")
+
+    @F.pandas_udf("boolean")
+    def lettered(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(t) and any(c.isalpha() for c in t.lower()) for t in texts], dtype=bool)
+
+    return documents.where(lettered("text"))

@@ -388,6 +388,12 @@ def test_language_learns_and_predicts(spark):
     assert language.language_of_documents(made(spark, [])).count() == 0
 
 
+def test_texts_stay_where_no_language_was_learnt(spark):
+    docs = made(spark, [(1, "some words", None, "s"), (2, "12 !!", None, "s"), (3, None, None, "s"), (4, "", None, "s"), (None, "é", None, "s")])
+    kept = language.keep_known_languages(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {1, None}
+
+
 def test_profile_ranks_by_hand():
     known = language.Profiles({"x": list(language.ranked(*language.counted(language.grams("aaab")), 300)), "y": []}, 300)
     assert known.judge("aaab") == ("x", 1.0)
