@@ -131,3 +131,126 @@ links AS (
 SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, component_id, e.vec_id = component_id AS kept
 FROM embeddings e JOIN smallest USING (vec_id)
 """
+
+# crc32 byte by byte from a table of 256 entries, which is made from the polynomial.
+_CRC_TABLE = """
+crc AS (
+  SELECT list(c ORDER BY i) AS crc_table
+  FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS c
+        FROM (SELECT unnest(range(256)) AS i))
+)"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of the UTF-8 bytes of `text`; needs `crc_table` in scope."""
+    at = f"list_transform(range(strlen({text})), lambda i: ('0x' || substr(hex({text}), 2 * i + 1, 2))::BIGINT)"
+    return f"xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], {at}), lambda c, b: xor(c // 256, crc_table[(xor(c, b) % 256) + 1])))"
+
+
+ORACLES["op11_spelling"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS d, w, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-zÀ-ÿ]+')) AS w FROM documents)
+  WHERE length(w) >= 6 GROUP BY ALL
+),
+hashed AS (SELECT w, n, {_crc32("d || ':' || w")} AS h FROM runs, crc),
+words AS (
+  SELECT row_number() OVER (ORDER BY w) AS id, w, n
+  FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN w[:h % length(w)] || w[(h % length(w)) + 2:] ELSE w END AS w, sum(n)::BIGINT AS n
+    FROM hashed GROUP BY 1
+  ) WHERE length(w) >= 6 AND n >= 5
+),
+skips AS (SELECT id, n, w, i, w[:i - 1] AS a, w[i + 1:] AS b FROM (SELECT *, unnest(range(1, length(w) + 1)) AS i FROM words)),
+links AS (
+  SELECT x.id, y.id AS other FROM skips x JOIN skips y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.id <> y.id
+  UNION
+  SELECT x.id, y.id FROM skips x JOIN words y ON x.a || x.b = y.w
+  UNION
+  SELECT y.id, x.id FROM skips x JOIN words y ON x.a || x.b = y.w
+),
+near AS (
+  SELECT l.id, count(*) AS n_near, first(o.id ORDER BY o.n DESC, o.id) AS best, max(o.n) AS best_n
+  FROM links l JOIN words o ON o.id = l.other GROUP BY l.id
+),
+forms AS (SELECT w.id, best, best_n FROM words w JOIN near USING (id) WHERE best_n >= 5 * w.n),
+walk(id, here, step) AS (
+  SELECT id, best, 1 FROM forms
+  UNION ALL
+  SELECT walk.id, f.best, step + 1 FROM walk JOIN forms f ON f.id = walk.here
+),
+ends AS (SELECT id, arg_max(here, step) AS root FROM walk GROUP BY id)
+SELECT w.w AS word, f.w AS form, coalesce(r.w, w.w) AS root, w.n, coalesce(n_near, 0)::BIGINT AS n_near, forms.best_n::BIGINT AS form_n
+FROM words w LEFT JOIN near USING (id) LEFT JOIN forms USING (id) LEFT JOIN words f ON f.id = forms.best
+LEFT JOIN ends USING (id) LEFT JOIN words r ON r.id = ends.root
+"""
+
+# The cheapest repair as a recursion over the rows: for each state the least (cost, audit), with the text so far.
+# States: 0 nothing yet, 1 a system row, 2 a user row, 3 an assistant row.
+ORACLES["op12_conversations"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+kinds AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+  FROM conversations, crc
+),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM kinds
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+         trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid
+  FROM damaged
+),
+faults AS (
+  SELECT conv_id, turn, role, text, k, left(role, 1) AS initial,
+         CASE WHEN solid = '' THEN 'b' WHEN seen > 1 THEN 'd' WHEN right(solid, 1) IN ('.', '!', '?') THEN '' ELSE 't' END AS fault
+  FROM placed
+),
+sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (after IS NOT NULL AND initial || after NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, lead(initial) OVER (PARTITION BY conv_id ORDER BY k) AS after FROM faults) GROUP BY conv_id
+),
+inserts(state, audit, cost, lines, ends) AS (
+  VALUES (0, '', 0, '', 0), (0, 'I', 2, chr(10) || 'user:', 2), (0, 'II', 4, chr(10) || 'user:' || chr(10) || 'assistant:', 3),
+         (1, '', 0, '', 1), (1, 'I', 2, chr(10) || 'user:', 2), (1, 'II', 4, chr(10) || 'user:' || chr(10) || 'assistant:', 3),
+         (2, '', 0, '', 2), (2, 'I', 2, chr(10) || 'assistant:', 3), (3, '', 0, '', 3), (3, 'I', 2, chr(10) || 'user:', 2)
+),
+walk(conv_id, k, state, best) AS (
+  SELECT conv_id, 0::BIGINT, 0, {{'cost': 0::BIGINT, 'audit': '', 'lines': ''}} FROM sums
+  UNION ALL
+  SELECT conv_id, k, state, min(best) FROM (
+    SELECT w.conv_id, f.k, e.state,
+           {{'cost': w.best.cost + i.cost + e.cost, 'audit': w.best.audit || i.audit || e.edit, 'lines': w.best.lines || i.lines || e.line}} AS best
+    FROM walk w JOIN inserts i USING (state) JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.k = w.k + 1,
+    LATERAL (
+      SELECT 'D' AS edit, i.ends AS state, 3 AS cost, '' AS line
+      UNION ALL
+      SELECT 'K', CASE f.initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, (f.fault = 't')::INT, chr(10) || f.role || ':' || f.text
+      WHERE f.fault NOT IN ('b', 'd') AND (i.ends, f.initial) IN ((0, 's'), (0, 'u'), (1, 'u'), (2, 'a'), (3, 'u'))
+      UNION ALL
+      SELECT 'R', CASE i.ends WHEN 2 THEN 3 ELSE 2 END, 2 + (f.fault = 't')::INT,
+             chr(10) || CASE i.ends WHEN 2 THEN 'assistant' ELSE 'user' END || ':' || f.text
+      WHERE f.fault NOT IN ('b', 'd')
+    ) e
+  ) GROUP BY conv_id, k, state
+),
+results AS (
+  SELECT w.conv_id, min({{'cost': w.best.cost + i.cost, 'audit': w.best.audit || i.audit, 'lines': w.best.lines || i.lines}}) AS best
+  FROM walk w JOIN sums s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.n = w.k JOIN inserts i USING (state)
+  WHERE i.ends IN (0, 3) GROUP BY w.conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(r.best.cost, 0) AS cost,
+       coalesce(r.best.audit, '') AS audit, sha256(coalesce(r.best.lines[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN results r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""

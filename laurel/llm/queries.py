@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from laurel.llm import decontamination, embeddings, language, minhash, mixing, sharding, substrings, tokens, toxicity, warc
+from laurel.llm import (
+    bpe, conversations, decontamination, embeddings, language, minhash, mixing, sharding, spelling, substrings, tokens, toxicity, warc,
+)
 from laurel.llm.oracles import ORACLES
 from laurel.session import scratch_path
 
@@ -83,6 +85,25 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.variant_words(table(spark, sf_dir, "documents")))
+
+
+@query
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair(rows, conversations.damaged(rows))
+
+
+@query
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
