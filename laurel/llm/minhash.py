@@ -249,9 +249,19 @@ def near_duplicates(
 
 
 def drop_near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, **how: int) -> DataFrame:
-    """`documents` with one row of each group of near duplicates: those whose doc_id is the smallest one.
+    """`documents` with one document of each group of near duplicates: the one of the smallest doc_id.
 
-    Rows without an id stay; of rows that repeat both id and text all stay, as they are one document.
+    Groups are those of the texts, by their 64-bit hashes, so rows with null or repeated ids are judged by what
+    they hold; a null id comes after all others. Rows without words stay. Of rows that repeat both id and text
+    all stay, as they are one document.
     """
-    found = near_duplicates(documents, shingle, percent, **how).where("not kept").select("doc_id").distinct()
-    return documents.join(found, "doc_id", "left_anti").select(documents.columns)
+    text_hash = F.xxhash64("text")
+    found = near_duplicates(documents.select(text_hash.alias("doc_id"), "text"), shingle, percent, **how)
+    groups = found.where("n_shingles > 0").select(F.col("doc_id").alias("text_hash"), "component_id").distinct()
+    rows = stored_copy(documents.select("doc_id", text_hash.alias("text_hash")).distinct().join(groups, "text_hash"))
+    order = F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "text_hash")
+    best = rows.groupBy("component_id").agg(F.min(order).alias("best"))
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))
+    gone = stored_copy(rows.join(best, "component_id").where(~stays).select(F.col("doc_id").alias("gone_id"), "text_hash"))
+    same = documents["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(documents["text"]) == gone["text_hash"])
+    return documents.join(gone, same, "left_anti")
