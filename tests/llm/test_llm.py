@@ -585,4 +585,4 @@ def test_queries_match_their_oracles(spark):
     for name in ("op4_mixing", "op6_warc"):
         assert compare(queries.queries()[name](spark, folder), con, queries.oracle_sql()[name]) is None, name
     assert isinstance(con, duckdb.DuckDBPyConnection)
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{k}" for k in range(1, 14)}
