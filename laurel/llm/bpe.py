@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from itertools import islice
@@ -17,7 +18,7 @@ from laurel.llm.tasks import sliced
 # Text encoded at once by a task, and ids decoded at once.
 BATCH_BYTES = 2 << 20
 # Encoded pieces, transitions and tested pairs that a worker remembers, each, about.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 # Longer pieces are encoded anew each time.
 LONGEST_REMEMBERED = 64
 
@@ -27,7 +28,19 @@ SHIFT = 24
 # The ends of pieces: what Unicode calls white space. `str.split` also splits at the four separators below.
 _SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 _SEPARATORS = re.compile("[\\x1c-\\x1f]")
+# Fixed value: a splitter under which letters in front of plain punctuation are one word each.
+_LETTERS_APART = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+# Letters that are composed already and have one lower-case letter each.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _MODELS: dict[str, "Model"] = {}
+_TOKENS: dict[str, list[str]] = {}
+
+
+def tokens_by_id(parts: dict) -> list[str]:
+    """Token of each id of a parsed file, special ones included; empty where an id has none."""
+    held = {i: token for token, i in parts["model"]["vocab"].items()} | {t["id"]: t["content"] for t in parts["added_tokens"]}
+    return [held.get(i, "") for i in range(max(held) + 1)]
 
 
 class Model:
@@ -52,12 +65,15 @@ class Model:
         self.normalise, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.vocabulary: dict[str, int] = model["vocab"]
         self.suffix = model.get("end_of_word_suffix") or ""
-        self.tokens = [""] * (1 + max([*self.vocabulary.values(), *(t["id"] for t in parts["added_tokens"])]))
-        for token, i in self.vocabulary.items():
-            self.tokens[i] = token
+        self.tokens = tokens_by_id(parts)
         self.special = {t["content"]: t["id"] for t in parts["added_tokens"]}
-        for content, i in self.special.items():
-            self.tokens[i] = content
+        # How the splitter writes the bytes of letters beyond ASCII.
+        self.byte_letters = {}
+        for letter in map(chr, range(0xC0, 0x100)):
+            written = "".join(word for word, _ in self.split(letter)) if letter not in "×÷" else ""
+            self.byte_letters.update(zip(letter.encode(), written) if len(written) == 2 else ())
+        lower = (parts["normalizer"] or {}).get("normalizers", [])
+        self.letters_apart = splitters[0]["pattern"] == {"Regex": _LETTERS_APART} and [n["type"] for n in lower] == ["NFC", "Replace", "Lowercase"]
         longest_first = sorted(self.special, key=len, reverse=True)
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.special else None
         # Rank of each merge, and of each token the merge and the parts that make it.
@@ -72,7 +88,7 @@ class Model:
             self.made[token] = (rank, left, right)
         self.tested: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
         self._build_automaton()
 
     def _build_automaton(self) -> None:
@@ -107,7 +123,7 @@ class Model:
             for symbol, child in children[state]:
                 queue.append(child)
                 self.link[child] = self._after(self.link[state], symbol)
-        self.ends = ends
+        self.ends = [tuple((t, len(symbols[t])) for t in own) for own in ends]
         self.length = {t: len(symbols[t]) for t in whole}
         self.transitions = len(self.step) + REMEMBERED
 
@@ -173,13 +189,15 @@ class Model:
                 state = self._after(key >> SHIFT, symbol)
                 if len(self.step) < self.transitions:
                     self.step[key] = state
-            for token in ends[state]:
-                before = place - length[token]
-                if not before or tested(last[before - 1] << SHIFT | token) or self.compatible(last[before - 1], token):
-                    last.append(token)
+            for token, size in ends[state]:
+                if size == place:
+                    break
+                found = tested(last[-size] << SHIFT | token)
+                if found or found is None and self.compatible(last[-size], token):
                     break
             else:
                 raise ValueError(f"no encoding of the prefix of {place} symbols")
+            last.append(token)
         ids = []
         place = len(symbols)
         while place:
@@ -187,38 +205,47 @@ class Model:
             place -= length[ids[-1]]
         return ids[::-1]
 
-    def words_ids(self, word: str) -> list[int]:
+    def words_ids(self, word: str) -> bytes:
         """Ids of one word of the splitter, remembered."""
         ids = self.words.get(word)
         if ids is None:
             symbols = [self.vocabulary[c] for c in word[:-1]]
             symbols.append(self.vocabulary[word[-1] + self.suffix])
-            ids = self.word_ids(symbols)
+            ids = array("I", self.word_ids(symbols)).tobytes()
             if len(word) <= LONGEST_REMEMBERED:
                 self.words[word] = ids
         return ids
 
-    def pieces_ids(self, pieces: list[str]) -> list[list[int]]:
+    def plain_ids(self, piece: str) -> bytes | None:
+        """Ids of common letters with punctuation behind them; None for other pieces."""
+        letters = piece.rstrip(_PUNCTUATION)
+        if not _LETTERS.fullmatch(letters):
+            return None
+        word = letters.lower()
+        ids = self.words_ids(word if word.isascii() else word.encode().decode("latin-1").translate(self.byte_letters))
+        return ids + self.words_ids(piece[len(letters) :]) if len(letters) < len(piece) else ids
+
+    def pieces_ids(self, pieces: list[str]) -> list[bytes]:
         """Ids of texts without white space and special tokens, normalised and split as one line."""
         line = self.normalise(" ".join(pieces))
         parts = line.split(" ")
         if len(parts) != len(pieces):
             raise ValueError("the normaliser moved white space")
-        found: list[list[int]] = [[] for _ in pieces]
+        found: list[list[bytes]] = [[] for _ in pieces]
         k, end = 0, len(parts[0])
         for word, (start, _) in self.split(line):
             while start >= end:
                 k += 1
                 end += 1 + len(parts[k])
-            found[k] += self.words_ids(word)
-        return found
+            found[k].append(self.words_ids(word))
+        return [b"".join(x) for x in found]
 
-    def special_ids(self, piece: str) -> list[int]:
+    def special_ids(self, piece: str) -> bytes:
         """Ids of a text without white space that holds special tokens."""
-        ids: list[int] = []
+        ids = b""
         for part in self.special_pattern.split(piece):
             if part in self.special:
-                ids.append(self.special[part])
+                ids += array("I", [self.special[part]]).tobytes()
             elif part:
                 ids += self.pieces_ids([part])[0]
         return ids
@@ -232,23 +259,18 @@ class Model:
                 setattr(self, memory, dict(islice(held.items(), REMEMBERED // 2)))
         split = [_SPACE.sub(" ", t).strip(" ").split(" ") if _SEPARATORS.search(t) else t.split() for t in texts]
         known = self.known
-        missing = set().union(*split).difference(known, ("",))
-        special = {p for p in missing if self.special_pattern and self.special_pattern.search(p)}
-        plain = list(missing - special)
-        ids = {p: self.special_ids(p) for p in special}
-        for k in range(0, len(plain), 1000):
-            ids.update(zip(plain[k : k + 1000], self.pieces_ids(plain[k : k + 1000])))
-        fresh = {p: np.array(x, "<u4").tobytes() for p, x in ids.items()}
+        fresh: dict[str, bytes | None] = dict.fromkeys(set().union(*split).difference(known, ("",)))
+        if any(token in t for token in self.special for t in texts):
+            fresh.update((p, self.special_ids(p)) for p in fresh if self.special_pattern.search(p))
+        if self.letters_apart:
+            fresh.update((p, self.plain_ids(p)) for p, x in fresh.items() if x is None)
+        other = [p for p, x in fresh.items() if x is None]
+        for k in range(0, len(other), 1000):
+            fresh.update(zip(other[k : k + 1000], self.pieces_ids(other[k : k + 1000])))
         known.update((p, x) for p, x in fresh.items() if len(p) <= LONGEST_REMEMBERED)
         known, fresh[""] = known.get, b""
         return [b"".join([known(p) or fresh[p] for p in pieces]) for pieces in split]
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of ids, special tokens included; an id that the file does not have adds nothing."""
-        tokens = self.tokens
-        last = len(tokens)
-        return " ".join([tokens[i] for i in ids if 0 <= i < last and tokens[i]])
-
 
 def model(path: str) -> Model:
     """The model of a file, built once in a worker."""
@@ -257,6 +279,14 @@ def model(path: str) -> Model:
     return _MODELS[path]
 
 
+def tokens_of(path: str) -> list[str]:
+    """`tokens_by_id` of a file, read once in a worker."""
+    if path not in _TOKENS:
+        with open(path, encoding="utf-8") as file:
+            _TOKENS[path] = tokens_by_id(json.load(file))
+    return _TOKENS[path]
+
+
 def encode(documents: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids) of the whole text of every row, by the BPE file at `path`, without added tokens.
 
@@ -280,10 +310,13 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
-    """`tokens` (doc_id, n_tokens, ids) with the text of the ids: their tokens joined by a space."""
+    """`tokens` (doc_id, n_tokens, ids) with the text of the ids: their tokens joined by a space.
+
+    Special tokens are part of it. Null ids give an empty text; an id that the file does not have is an error.
+    """
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = model(path)
+        token = tokens_of(path).__getitem__
         for batch in batches:
             ids = batch.column("ids")
             stops = np.asarray(ids.offsets)
@@ -291,7 +324,7 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
             while start < batch.num_rows:
                 rows = max(1, int(np.searchsorted(stops[start + 1 :] - stops[start], BATCH_BYTES // 4, side="right")))
                 part = batch.slice(start, rows)
-                texts = pa.array([known.decode(x or []) for x in part.column("ids").to_pylist()], pa.string())
+                texts = pa.array([" ".join(map(token, x or ())) for x in part.column("ids").to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, "text"])
                 start += rows
 
