@@ -147,14 +147,19 @@ def language_of_documents(documents: DataFrame) -> DataFrame:
 def keep_known_languages(documents: DataFrame) -> DataFrame:
     """`documents` without those whose language cannot be told: no text, or not a letter in it.
 
-    Also where nothing was learnt, as without any language given: texts with a letter stay.
+    Also where nothing was learnt, as without any language given: texts with a letter stay. Rows pass through
+    the task in slices of text and come out as they are.
     """
     profiles = learn_profiles(documents.where(~held_out(F.col("doc_id"))))
-    if profiles:
-        return identify(documents, profiles).where(F.col("lang_pred") != UNKNOWN).select("row.*")
 
-    @F.pandas_udf("boolean")
-    def lettered(texts: pd.Series) -> pd.Series:
-        return pd.Series([bool(t) and any(c.isalpha() for c in t.lower()) for t in texts], dtype=bool)
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Profiles(profiles)
+        for batch in sliced(batches, "text", BATCH_BYTES):
+            texts = batch.column("text").to_pylist()
+            if profiles:
+                stays = [known.judge(t)[0] != UNKNOWN for t in texts]
+            else:
+                stays = [bool(t) and any(c.isalpha() for c in t.lower()) for t in texts]
+            yield batch.filter(pa.array(stays, pa.bool_()))
 
-    return documents.where(lettered("text"))
+    return documents.mapInArrow(kept, documents.schema)
