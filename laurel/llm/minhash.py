@@ -251,14 +251,19 @@ def near_duplicates(
 def drop_near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, **how: int) -> DataFrame:
     """`documents` with one document of each group of near duplicates: the one of the smallest doc_id.
 
-    Groups are those of the texts, by their 64-bit hashes, so rows with null or repeated ids are judged by what
-    they hold; a null id comes after all others. Rows without words stay. Of rows that repeat both id and text
-    all stay, as they are one document.
+    Rows with null ids, and those whose id stands for several texts, are judged by the 64-bit hash of their text
+    in place of the id, so none is lost for another one's text; a null id comes after all others. Rows without
+    words stay. Of rows that repeat both id and text all stay, as they are one document.
     """
     text_hash = F.xxhash64("text")
-    found = near_duplicates(documents.select(text_hash.alias("doc_id"), "text"), shingle, percent, **how)
-    groups = found.where("n_shingles > 0").select(F.col("doc_id").alias("text_hash"), "component_id").distinct()
-    rows = stored_copy(documents.select("doc_id", text_hash.alias("text_hash")).distinct().join(groups, "text_hash"))
+    texts = documents.where("doc_id is not null").groupBy("doc_id").agg(F.min(text_hash).alias("low"), F.max(text_hash).alias("high"))
+    several = stored_copy(texts.where("low <> high").select(F.col("doc_id").alias("_several")))
+    named = documents.select("doc_id", "text").join(several, F.col("doc_id") == F.col("_several"), "left")
+    key = F.when(F.col("doc_id").isNull() | F.col("_several").isNotNull(), text_hash).otherwise(F.col("doc_id"))
+    named = named.select("doc_id", "text", key.alias("key"))
+    found = near_duplicates(named.select(F.col("key").alias("doc_id"), "text"), shingle, percent, **how)
+    groups = found.where("n_shingles > 0").select(F.col("doc_id").alias("key"), "component_id").distinct()
+    rows = stored_copy(named.select("doc_id", "key", text_hash.alias("text_hash")).distinct().join(groups, "key"))
     order = F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "text_hash")
     best = rows.groupBy("component_id").agg(F.min(order).alias("best"))
     stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))
