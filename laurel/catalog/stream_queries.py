@@ -32,10 +32,10 @@ SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, event_type, COUNT(*)
 FROM events GROUP BY 1, 2""",
 )
 def stm_2(t):
-    # A backlog in five stretches of time, the newest first; the stream is taken up again for each.
+    # A backlog in five stretches of the month, the newest first; the stream is taken up again for each.
     source, target, checkpoint = (scratch_path(t.spark) for _ in range(3))
     rows = t.events.select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
-    stretch = F.floor((F.dayofyear("ts") - 1) / 74)
+    stretch = F.least(F.floor((F.dayofmonth("ts") - 1) / 6), F.lit(4))
     for number in (4, 3, 2, 1, 0):
         rows.where(stretch == number).write.mode("append").parquet(source)
         stream = weekly.read_new_files(t.spark, source, rows.schema)
@@ -60,5 +60,26 @@ def stm_3(t):
     for number in (1, 0, 2):
         rows.where(stretch == number).write.mode("append").parquet(source)
         stream = weekly.read_new_files(t.spark, source, rows.schema)
-        weekly.prior_sums(stream, ["user_id"], ["ts", "event_id"], "cents", target, checkpoint)
-    return weekly.running_rows(t.spark, target, ["user_id"]).select("event_id", "user_id", "prior_sum")
+        weekly.prior_sums(stream, ["user_id"], ["ts", "event_id"], "cents", target, checkpoint, buckets=16)
+    return weekly.running_rows(t.spark, target).select("event_id", "user_id", "prior_sum")
+
+
+# The watermark form on the same backlog in order of time: nothing is late, and the state ends as the batch does.
+@query(
+    "stm_2_watermark",
+    """
+SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, event_type, COUNT(*) AS rows, ROUND(SUM(value), 4) AS total,
+       CAST(0 AS BIGINT) AS dropped_groups
+FROM events GROUP BY 1, 2""",
+)
+def stm_2_watermark(t):
+    source, target, checkpoint = (scratch_path(t.spark) for _ in range(3))
+    rows = t.events.select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    stretch = F.least(F.floor((F.dayofmonth("ts") - 1) / 6), F.lit(4))
+    dropped = 0
+    for number in range(5):
+        rows.where(stretch == number).write.mode("append").parquet(source)
+        stream = weekly.read_new_files(t.spark, source, rows.schema)
+        dropped += weekly.keep_updates(weekly.weekly_totals(stream, "ts", ["event_type"], "value", delay="2 days"), target, checkpoint)
+    totals = weekly.latest(t.spark, target, ["week_start", "event_type"])
+    return totals.withColumns({"total": F.round("total", 4), "dropped_groups": F.lit(dropped).cast("bigint")})

@@ -62,21 +62,58 @@ def test_prior_sums_carry_over_batches(spark, tmp_path):
         spark.createDataFrame(data, SCHEMA).write.mode("append").parquet(source)
         stream = weekly.read_new_files(spark, source, SCHEMA)
         weekly.prior_sums(stream, ["k"], ["ts", "id"], "v", target, checkpoint)
-    got = weekly.running_rows(spark, target, ["k"])
+    got = weekly.running_rows(spark, target)
     assert rows(got, "id", "prior_sum") == [(1, 0), (2, 0), (3, 1), (4, 3), (5, 0), (6, 5), (7, 6)]
     # Nothing came late, so no key was written twice.
     assert spark.read.parquet(f"{target}/rows").count() == 7
 
 
-@pytest.mark.parametrize("full_state_every", [20, 2])
-def test_prior_sums_correct_late_rows(spark, tmp_path, monkeypatch, full_state_every):
-    monkeypatch.setattr(weekly, "FULL_STATE_EVERY", full_state_every)
+@pytest.mark.parametrize("most_folders", [16, 2])
+def test_prior_sums_correct_late_rows(spark, tmp_path, most_folders):
     source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     rng = random.Random(5)
     data = [(i, at("2024-01-01") + dt.timedelta(hours=rng.randint(0, 40)), rng.choice(["a", "b", "c", None]), rng.randint(1, 9)) for i in range(40)]
     for start in range(0, 40, 8):
         spark.createDataFrame(data[start : start + 8], SCHEMA).coalesce(1).write.mode("append").parquet(source)
         stream = weekly.read_new_files(spark, source, SCHEMA)
-        weekly.prior_sums(stream, ["k"], ["ts", "id"], "v", target, checkpoint)
+        weekly.prior_sums(stream, ["k"], ["ts", "id"], "v", target, checkpoint, buckets=3, most_folders=most_folders)
     expected = [(i, sum(w for j, u, l, w in data if l == k and (u, j) < (ts, i))) for i, ts, k, _ in data]
-    assert sorted(rows(weekly.running_rows(spark, target, ["k"]), "id", "prior_sum")) == expected
+    assert sorted(rows(weekly.running_rows(spark, target), "id", "prior_sum")) == expected
+
+
+def test_prior_sums_of_thirty_batches_read_the_late_bucket_only(spark, tmp_path, monkeypatch):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    data = [(i, at("2024-01-01") + dt.timedelta(hours=i), f"k{i % 5}", i % 7 + 1) for i in range(60)]
+    # The row of batch 20 comes before all others of its key.
+    data[41] = (41, at("2023-12-01"), data[41][2], 5)
+    for start in range(0, 60, 2):
+        # Files are taken up in the order of their times.
+        path = spark.createDataFrame(data[start : start + 2], SCHEMA).coalesce(1)
+        path.write.mode("append").parquet(source)
+    read = []
+    whole = weekly._stored_folders
+    monkeypatch.setattr(weekly, "_stored_folders", lambda s, t, kind, folders: read.append((kind, list(folders))) or whole(s, t, kind, folders))
+    stream = weekly.read_new_files(spark, source, SCHEMA, files_per_batch=1)
+    weekly.prior_sums(stream, ["k"], ["ts", "id"], "v", target, checkpoint, buckets=4, most_folders=100)
+    late = [folders for kind, folders in read if kind == "rows"]
+    assert len(late) == 1 and len({f.rpartition("=")[2] for f in late[0]}) == 1
+    expected = sorted((i, sum(w for j, u, l, w in data if l == k and (u, j) < (ts, i))) for i, ts, k, _ in data)
+    assert sorted(rows(weekly.running_rows(spark, target), "id", "prior_sum")) == expected
+    # Of the states of each bucket the newest is left, and what the last batch replaced.
+    import glob
+
+    states = [f.rpartition("=")[2] for f in glob.glob(f"{target}/state/batch=*/_bucket=*")]
+    assert all(states.count(b) <= 2 for b in states)
+    assert len(glob.glob(f"{target}/index/batch=*")) == 2
+
+
+def test_prior_sums_keep_their_buckets(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    for buckets in (4, 5):
+        spark.createDataFrame([(1, at("2024-01-01"), "a", 1)], SCHEMA).write.mode("append").parquet(source)
+        stream = weekly.read_new_files(spark, source, SCHEMA)
+        if buckets == 4:
+            weekly.prior_sums(stream, ["k"], ["ts", "id"], "v", target, checkpoint, buckets=buckets)
+        else:
+            with pytest.raises(Exception, match="4 buckets, not 5"):
+                weekly.prior_sums(stream, ["k"], ["ts", "id"], "v", target, checkpoint, buckets=buckets)
