@@ -514,26 +514,27 @@ def udf_3(t):
     return rows.select("player_id", "teamid", "season", "week_start", "points_prior")
 
 
+# The load rises by what goes beyond 25 points a week, is never below 0 and stops at 150: no window says that.
 @query(
     "udf_4",
     oracle("""
-SELECT player_id, season, COUNT(*) AS weeks, ROUND(AVG(points), 6) AS mean_points FROM pw GROUP BY player_id, season"""),
+SELECT player_id, season, CAST(len(p) AS BIGINT) AS weeks,
+       list_reduce(list_concat([CAST(0 AS BIGINT)], p), lambda load, x: least(150, greatest(0, load + x - 25))) AS load
+FROM (SELECT player_id, season, list(CAST(points AS BIGINT) ORDER BY week_start, teamid) AS p FROM pw GROUP BY player_id, season) q"""),
 )
 def udf_4(t):
-    def season_summary(weeks: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "player_id": [weeks["player_id"].iloc[0]],
-                "season": [weeks["season"].iloc[0]],
-                "weeks": [len(weeks)],
-                "mean_points": [weeks["points"].mean()],
-            }
-        )
-
-    rows = b.player_weeks(t).select("player_id", "season", "points")
-    schema = "player_id bigint, season int, weeks bigint, mean_points double"
-    summary = groups.apply_per_group(rows, ["player_id", "season"], season_summary, schema)
-    return summary.withColumn("mean_points", F.round("mean_points", 6))
+    def step(state, rows):
+        weeks, load = state
+        for points in rows["points"]:
+            load = min(150, max(0, load + int(points) - 25))
+        return (weeks + len(rows), load), None
+
+    def finish(key, state):
+        return pd.DataFrame([(*key, *state)], columns=["player_id", "season", "weeks", "load"])
+
+    rows = b.player_weeks(t).select("player_id", "season", "week_start", "teamid", "points")
+    schema = "player_id bigint, season int, weeks bigint, load bigint"
+    return groups.scan_groups(rows, ["player_id", "season"], ["week_start", "teamid"], lambda: (0, 0), step, finish, schema)
 
 
 @query(

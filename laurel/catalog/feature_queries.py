@@ -127,11 +127,11 @@ def weekly(t, awards=None):
     sql(
         "SELECT "
         + ", ".join("ROUND(opp_winrate_prior, 6) AS opp_winrate_prior" if c == "opp_winrate_prior" else c for c in HISTORY_COLUMNS)
-        + " FROM hist WHERE gamedate >= DATE '1995-01-01'"
+        + " FROM hist WHERE gamedate >= DATE '1997-07-01'"
     ),
 )
 def fea_1(t):
-    history = team_game_history(b.games_table(t), where="gamedate >= '1995-01-01'")
+    history = team_game_history(b.games_table(t), where="gamedate >= '1997-07-01'")
     return history.withColumn("opp_winrate_prior", F.round("opp_winrate_prior", 6))
 
 

@@ -145,13 +145,16 @@ def ml_6(t):
     )
 
 
+# Boosting stops on the newest season of the training rows; `rounds` says where.
 @query("ml_7")
 def ml_7(t):
     train, test = splits.season_split(candidates(t))
-    train = models.class_weights(train, "y")
+    held = train.agg(F.max("season").alias("s")).scalar()
+    train = b.stored(models.class_weights(train, "y").withColumn("held", F.col("season") == held))
     stages = models.feature_stages(train.select(*STATS), exclude=(), scale=False)
-    scored = models.score(models.fit(train, stages, models.boosted(rounds=20, depth=5)), test)
-    return scored.select(*WEEK, "conference", "y", "score")
+    model = models.fit(train, stages, models.boosted(rounds=500, depth=5, held="held", tolerance=0.001))
+    scored = models.score(model, test).withColumn("rounds", F.lit(model.stages[-1].getNumTrees))
+    return scored.select(*WEEK, "conference", "y", "score", "rounds")
 
 
 @query("ml_8")
@@ -162,6 +165,35 @@ def ml_8(t):
     return models.linear_score(test, weights).select(*WEEK, "conference", "y", "score")
 
 
+# Top-1 of the boosted ranker beside the linear one on the five newest seasons; folds are fitted side by side.
+@query("ml_8_trees")
+def ml_8_trees(t):
+    rows = b.stored(candidates(t))
+
+    def fold(season, train, validation):
+        def run():
+            held = train.agg(F.max("season")).first()[0]
+            marked = train.withColumn("held", F.col("season") == held)
+            trees = models.fit_ranking_trees(marked, GROUP, STATS, held="held")
+            scaled, scaled_validation = splits.standardise(train, STATS, validation)
+            weights = models.fit_pairwise(scaled, GROUP, STATS, max_iter=100)
+            found = []
+            for ranker, scored, rounds in (
+                ("trees", trees.score(validation), len(trees.trees)),
+                ("linear", models.linear_score(scaled_validation, weights), None),
+            ):
+                groups, rate = ranking.hit_rates(scored, GROUP, "player_id", (1,)).first()
+                found.append((season, ranker, groups, rate, rounds))
+            return found
+
+        return run
+
+    folds = splits.season_folds(rows, 5)
+    found = models.fit_side_by_side([fold(*f) for f in folds if not f[1].isEmpty()], most=5)
+    schema = "season int, ranker string, groups bigint, top_1_hit_rate double, rounds int"
+    return t.spark.createDataFrame([x for one in found for x in one], schema)
+
+
 # The oracle forms the pairs; a fifth of a point is lost per pair that is not 30 apart.
 @query(
     "ml_9",
@@ -277,19 +309,28 @@ def ml_13(t):
     return rates.select("model", "groups", *rounded("top_1_hit_rate"))
 
 
+# Five seeds on each of five season folds, rows and features drawn for each tree, stopped on the fold's season.
 @query("ml_14")
 def ml_14(t):
-    train = models.class_weights(candidates(t), "y")
-    stages = models.feature_stages(train.select(*STATS), exclude=(), scale=False)
-    prepared = models.fit(train, stages[:0], stages[0]).transform(train)
-    prepared = b.stored(prepared.select("features", "y", "weight"))
-    runs = [
-        models.importances(models.fit(prepared, [], models.boosted(rounds=3, depth=3, seed=seed)), STATS, seed, t.spark)
-        for seed in (42, 76, 120, 271, 999)
-    ]
-    summary = b.stored(ranking.importance_summary(rollup.union_all(*runs)))
+    rows = b.stored(candidates(t))
+
+    def run(season, train, validation, seed, number):
+        def fitted():
+            marked = models.class_weights(train, "y").withColumn("held", F.lit(False))
+            marked = marked.unionByName(validation.withColumns({"weight": F.lit(1.0), "held": F.lit(True)}))
+            stages = models.feature_stages(marked.select(*STATS), exclude=(), scale=False)
+            learner = models.boosted(rounds=500, depth=4, seed=seed, sample=0.7, features="0.5", held="held")
+            return models.importances(models.fit(marked, stages, learner), STATS, number, t.spark)
+
+        return fitted
+
+    folds = [f for f in splits.season_folds(rows, 5) if not f[1].isEmpty()]
+    jobs = [run(*fold, seed, 10 * i + j) for i, fold in enumerate(folds) for j, seed in enumerate((42, 76, 120, 271, 999))]
+    runs = rollup.union_all(*models.fit_side_by_side(jobs, most=8))
+    summary = b.stored(ranking.importance_summary(runs))
     low = ranking.low_importance(summary).select("feature", F.lit(True).alias("low"))
-    return summary.join(low, "feature", "left").fillna({"low": False})
+    models_fitted = runs.agg(F.count_distinct("run").alias("n")).scalar()
+    return summary.join(low, "feature", "left").fillna({"low": False}).withColumn("models", models_fitted)
 
 
 @query("ml_15")

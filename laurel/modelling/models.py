@@ -7,17 +7,21 @@ trees and fold metrics only.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from laurel.modelling.splits import season_folds
 from laurel.operators import ranking
-from laurel.session import broadcast_checked
+from laurel.operators.ordered import OrderedGroups, Prefix
+from laurel.session import GROUP_ROWS, broadcast_checked, stored_copy
 
 # Columns that name the row, hold the answer, or are known only after the season.
 NOT_FEATURES = (
@@ -103,14 +107,124 @@ def logistic(label: str = "y", weight: str | None = "weight", reg: float = 0.01,
     return model.setWeightCol(weight) if weight else model
 
 
-def boosted(label: str = "y", weight: str | None = "weight", rounds: int = 20, depth: int = 5, seed: int = 42, step: float = 0.1, sample: float = 1.0):
+def boosted(
+    label: str = "y",
+    weight: str | None = "weight",
+    rounds: int = 20,
+    depth: int = 5,
+    seed: int = 42,
+    step: float = 0.1,
+    sample: float = 1.0,
+    features: str = "all",
+    held: str | None = None,
+    tolerance: float = 0.01,
+):
+    """Boosted trees. With `held`, a column that marks validation rows, `rounds` is a limit only.
+
+    Boosting then stops when a round lowers the loss on the marked rows by less than `tolerance` of it, and the
+    model keeps the trees up to the best round. `sample` and `features` draw rows and features for each tree.
+    """
     model = GBTClassifier(
         labelCol=label, featuresCol="features", maxIter=rounds, maxDepth=depth, seed=seed, stepSize=step,
-        subsamplingRate=sample,
+        subsamplingRate=sample, featureSubsetStrategy=features, validationTol=tolerance,
     )
+    if held:
+        model = model.setValidationIndicatorCol(held)
     return model.setWeightCol(weight) if weight else model
 
 
+def fit_side_by_side(jobs: Sequence[Callable[[], object]], most: int = 4) -> list:
+    """Results of fits that do not need each other, `most` at a time: their Spark jobs share the cluster."""
+    with ThreadPoolExecutor(max_workers=most) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
+
+@dataclass
+class RankingTrees:
+    """A boosted ranker: the score of a row is the sum of its trees' predictions times `step`."""
+
+    trees: list
+    step: float
+    columns: list[str]
+    losses: list[float]
+
+    def score(self, df: DataFrame, name: str = "score") -> DataFrame:
+        rows = VectorAssembler(inputCols=self.columns, outputCol="_features").transform(df).withColumn(name, F.lit(0.0))
+        for tree in self.trees:
+            tree = tree.copy({tree.featuresCol: "_features", tree.predictionCol: "_tree"})
+            rows = tree.transform(rows).withColumn(name, F.col(name) + self.step * F.col("_tree")).drop("_tree")
+        return rows.drop("_features")
+
+
+def with_sides(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    """`df` with the number of `_winners` and `_losers` of each group; groups without both are left out."""
+    wins = F.col(label) == 1
+    sides = df.groupBy(*keys).agg(F.count_if(wins).alias("_winners"), F.count_if(~wins).alias("_losers"))
+    return df.join(sides.where("_winners > 0 and _losers > 0"), list(keys))
+
+
+def margin_gradients(df: DataFrame, keys: Sequence[str], score: str, label: str, margin: float = 1.0, max_rows: int | None = GROUP_ROWS) -> DataFrame:
+    """Rows of `with_sides` with `_pull`, the share of the other side that a row has not yet passed by `margin`.
+
+    A winner is pulled up by the share of its group's losers above `winner - margin`, a loser down by the share of
+    the winners below `loser + margin`: the gradient of the mean margin loss over the pairs. No pair is formed:
+    losers stand at their score, winners at theirs less the margin, and both shares are running counts in that one
+    order. `_weight` makes the winners and the losers of a group count 1 in all each.
+    """
+    wins = F.col(label) == 1
+    placed = df.withColumn("_at", F.when(wins, F.col(score) - margin).otherwise(F.col(score)))
+    # Of equal places the loser comes first: a loser just `margin` below costs nothing.
+    counted = (
+        OrderedGroups(placed, keys, ["_at", F.col(label)], max_rows)
+        .add(Prefix("_below_w", "sum", wins.cast("long")), Prefix("_below_l", "sum", (~wins).cast("long")))
+        .result()
+    )
+    pull = F.when(wins, (F.col("_losers") - F.col("_below_l")) / F.col("_losers")).otherwise(-F.col("_below_w") / F.col("_winners"))
+    weight = F.when(wins, 1 / F.col("_winners")).otherwise(1 / F.col("_losers"))
+    return counted.withColumns({"_pull": pull, "_weight": weight}).drop("_at", "_below_w", "_below_l")
+
+
+def fit_ranking_trees(
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    held: str,
+    label: str = "y",
+    rounds: int = 200,
+    depth: int = 4,
+    step: float = 0.5,
+    tolerance: float = 0.01,
+    patience: int = 3,
+    seed: int = 42,
+    max_rows: int = GROUP_ROWS,
+) -> RankingTrees:
+    """Regression trees on the margin gradients of each group, one a round, for ranking within groups.
+
+    Rows with `held` true are not fitted; their winners' mean pull is the loss that stops the boosting when
+    `patience` rounds did not lower it by `tolerance` of it, and trees behind the best round are dropped. `rounds`
+    is a limit only. Each round reads the scores of the round before from a stored table, so plans do not nest.
+    """
+    rows = VectorAssembler(inputCols=list(columns), outputCol="features").transform(with_sides(df, keys, label))
+    rows = stored_copy(rows.select(*keys, label, held, "features", "_winners", "_losers", F.lit(0.0).alias("score")))
+    # The groups stay as they are, so one look says whether any has to be cut into chunks.
+    largest = rows.agg(F.max(F.col("_winners") + F.col("_losers"))).first()[0] or 0
+    limit = max_rows if largest > max_rows else None
+    trees, losses, best = [], [], 0
+    while len(trees) < rounds:
+        pulled = stored_copy(margin_gradients(rows, keys, "score", label, max_rows=limit))
+        loss = pulled.where(F.col(held) & (F.col(label) == 1)).agg(F.avg("_pull")).first()[0]
+        losses.append(1.0 if loss is None else float(loss))
+        best = len(losses) - 1 if losses[-1] < losses[best] * (1 - tolerance) else best
+        if len(losses) - 1 - best >= patience or losses[-1] == 0:
+            break
+        learner = DecisionTreeRegressor(featuresCol="features", labelCol="_pull", weightCol="_weight", predictionCol="_tree", maxDepth=depth, seed=seed + len(trees))
+        tree = learner.fit(pulled.where(~F.col(held)))
+        trees.append(tree)
+        # The next round's scores come out of the table that the gradients are in already.
+        rows = tree.transform(pulled).withColumn("score", F.col("score") + step * F.col("_tree")).drop("_tree", "_pull", "_weight")
+    return RankingTrees(trees[: max(best, 1)], step, list(columns), losses)
+
+
 def perceptron(inputs: int, hidden: Sequence[int] = (64, 32), label: str = "y", max_iter: int = 100, seed: int = 42):
     return MultilayerPerceptronClassifier(
         labelCol=label, featuresCol="features", layers=[inputs, *hidden, 2], maxIter=max_iter, seed=seed
