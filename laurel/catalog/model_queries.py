@@ -254,6 +254,29 @@ def ml_11(t):
     return ranking.rank_summary(ranks).select("statistic", *rounded("value"))
 
 
+# Winner of each group beside the predicted one, and the five best candidates in rank order.
+@query(
+    "ml_11_predictions",
+    oracle(
+        """
+SELECT w.week_start, w.conference, w.player_id AS actual_winner, w.rank AS winner_rank, p.player_id AS predicted_winner, top_five
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY week_start, conference ORDER BY rank) AS first_winner FROM ranked WHERE y = 1) w
+JOIN ranked p ON p.week_start = w.week_start AND p.conference = w.conference AND p.rank = 1
+JOIN (SELECT week_start, conference, string_agg(CAST(player_id AS VARCHAR), ',' ORDER BY rank) AS top_five
+      FROM ranked WHERE rank <= 5 GROUP BY week_start, conference) t ON t.week_start = w.week_start AND t.conference = w.conference
+WHERE w.first_winner = 1""",
+        ranked=RANKED,
+    ),
+)
+def ml_11_predictions(t):
+    rows = b.labelled_weeks(t)
+    order = [F.desc("score"), F.asc("player_id")]
+    best = ranking.top_candidates(rows, GROUP, order, ["player_id"], k=5)
+    best = best.select(*GROUP, F.array_join(F.col("top.player_id").cast("array<string>"), ",").alias("top_five"))
+    found = ranking.predictions(rows, GROUP, "player_id").join(best, GROUP)
+    return found.withColumn("winner_rank", F.col("winner_rank").cast("bigint"))
+
+
 CONFUSION = """
 SELECT CASE WHEN y = 1 THEN 1 ELSE 0 END AS y, CASE WHEN score >= 20 THEN 1 ELSE 0 END AS p, score FROM b9"""
 

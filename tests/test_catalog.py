@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 KEYS = [
     "win_2", "win_5", "win_12", "win_13", "win_14", "joi_3", "joi_4", "joi_8", "agg_9", "agg_12", "agg_14",
     "flt_4", "str_a", "str_b", "dat_a", "ent_1", "fea_1", "fea_6", "fea_12", "fea_14", "src_4", "src_6", "src_6_awards",
-    "ml_9", "ml_12", "stm_2",
+    "ml_9", "ml_11_predictions", "ml_12", "stm_2", "stm_2_watermark", "stm_3", "udf_4",
 ]
 
 
