@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from laurel.functions.text import strip_accents
 from laurel.operators import joins
 from laurel.operators.ordered import top_rows
-from laurel.session import BROADCAST_ROWS, broadcast_checked
+from laurel.session import BROADCAST_ROWS, broadcast_checked, stored_copy
 
 # Ids whose listed name is shared by two players → the name that tells them apart.
 DISTINGUISHED_NAMES = (
@@ -70,7 +70,8 @@ def resolve_entities(
     Every distinct name is cleaned and resolved once, however often it occurs. Rows with a NULL name
     stay and get no id.
     """
-    names = df.where(F.col(name).isNotNull()).select(name).distinct()
+    # Stored, so that the count and the resolution do not read the facts again.
+    names = stored_copy(df.where(F.col(name).isNotNull()).select(name).distinct())
     resolved = resolve_names(names, name, aliases, lookup)
     rest = [c for c in df.columns if c != name]
     return df.join(broadcast_checked(resolved, max_rows, counted=names), name, "left").select(

@@ -128,11 +128,15 @@ def interval_join(
     """`pick` of the lowest-priority-number rule whose closed date range holds `date`, else NULL.
 
     Each rule is unfolded into its days and the best rule per day is kept, which turns the range
-    condition into an equality. Ranges are cut to the dates of `df`, so the unfolded table has at most
-    one row per calendar day of it; a range without a first or last day is open there, and one that ends
-    before it begins holds no day.
+    condition into an equality. A range without a first or last day is open there; if there is one, or if the
+    ranges span more than BROADCAST_ROWS days, they are cut to the dates of `df`. So the unfolded table has at
+    most one row per calendar day of so many days, or of `df`. A range that ends before it begins holds no day.
     """
-    low, high = df.agg(F.min(date), F.max(date)).first()
+    opened = F.count_if(F.col(first).isNull() | F.col(last).isNull())
+    low, high, days, opened = rules.agg(F.min(first), F.max(last), F.datediff(F.max(last), F.min(first)), opened).first()
+    # Closed ranges over few enough days need no look at the dates of `df`.
+    if opened or (days or 0) > BROADCAST_ROWS:
+        low, high = df.agg(F.min(date), F.max(date)).first()
     ranges = rules.select(
         F.greatest(F.col(first), F.lit(low)).alias("_lo"), F.least(F.col(last), F.lit(high)).alias("_hi"), pick, priority
     ).where("_lo <= _hi")
