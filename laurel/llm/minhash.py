@@ -258,7 +258,8 @@ def drop_near_duplicates(documents: DataFrame, shingle: int = 5, percent: int =
     text_hash = F.xxhash64("text")
     texts = documents.where("doc_id is not null").groupBy("doc_id").agg(F.min(text_hash).alias("low"), F.max(text_hash).alias("high"))
     several = stored_copy(texts.where("low <> high").select(F.col("doc_id").alias("_several")))
-    named = documents.select("doc_id", "text").join(several, F.col("doc_id") == F.col("_several"), "left")
+    # The hash of a null is a small number, which may be some document's id.
+    named = documents.where("text is not null").select("doc_id", "text").join(several, F.col("doc_id") == F.col("_several"), "left")
     key = F.when(F.col("doc_id").isNull() | F.col("_several").isNotNull(), text_hash).otherwise(F.col("doc_id"))
     named = named.select("doc_id", "text", key.alias("key"))
     found = near_duplicates(named.select(F.col("key").alias("doc_id"), "text"), shingle, percent, **how)
