@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,9 @@ def shard_records(
     Law `bytes`: the shards' sizes are near equal. The key is a hash of the text, so equal texts, whatever
     their number, are neighbours in key order and in the same shard as long as they fit. Splitters drawn
     from a size-weighted sample cut the keys into many ranges; ranges larger than twice the aim are
-    subdivided by a hash of the ids, and those parts in turn hold whole records. With the exact bytes of
+    subdivided by a hash of the ids, and those parts in turn hold whole records. Copies of one text and one id
+    (null or not) that are larger than such a part by themselves are told apart by numbers that are stored
+    with the rows, so they spread as well. With the exact bytes of
     every range, ranges are dealt in order to the shard that holds the middle of their stretch of bytes,
     so a shard differs from the mean by about one range. Slots count from 0 in each shard, by range and
     then by (key, doc_id).
@@ -55,8 +58,9 @@ def shard_records(
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"),
         F.struct("*").alias("row"),
+        F.lit(0).cast("long").alias("copy"),
     )
-    light = stored_copy(keyed.select("doc_id", "size", "key"))
+    light = stored_copy(keyed.select("doc_id", "size", "key", "copy"))
     ranges = shards * ranges_per_shard
     splitters = sampled_splitters(light, ranges, per_range)
 
@@ -71,9 +75,14 @@ def shard_records(
     whole = ranged.groupBy("range").agg(F.sum("size").alias("bytes"))
     # An overfull range, such as one of a single hot text, is cut into as many parts as it needs.
     parts = whole.select("range", F.when(F.col("bytes") > 2 * aim, F.ceil(F.col("bytes") / F.lit(aim))).otherwise(F.lit(1)).alias("parts"))
-    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.col("parts")).cast("int")
+    part = F.pmod(F.xxhash64("doc_id", "copy", F.lit("part")), F.col("parts")).cast("int")
     # One row per range: `ranges` of them at most, times the parts of overfull ones (twice as many in all).
     parts = F.broadcast(stored_copy(parts))
+    repeated = ranged.join(parts.where("parts > 1"), "range").groupBy("key", "doc_id").agg(F.sum("size").alias("bytes"))
+    if not repeated.where(F.col("bytes") > aim).isEmpty():
+        # Ids do not tell these rows apart. Numbers do, once they are stored.
+        keyed = stored_copy(keyed.withColumn("copy", F.monotonically_increasing_id()))
+        ranged = keyed.select("doc_id", "size", "key", "copy").withColumn("range", range_of("key"))
     cut = ranged.join(parts, "range").withColumn("part", part)
     pieces = cut.groupBy("range", "part").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
     order = Window.orderBy("range", "part").rowsBetween(Window.unboundedPreceding, -1)
@@ -84,16 +93,21 @@ def shard_records(
     pieces = pieces.select("range", "part", "shard", F.coalesce(F.sum("n").over(within), F.lit(0)).alias("first_slot"))
     pieces = F.broadcast(stored_copy(pieces))
     full = keyed.withColumn("range", range_of("key")).join(parts, "range").withColumn("part", part)
-    place = Window.partitionBy("range", "part").orderBy("key", "doc_id")
+    place = Window.partitionBy("range", "part").orderBy("key", "doc_id", "copy")
     full = full.withColumn("within", F.row_number().over(place) - 1).join(pieces, ["range", "part"])
     slot = (F.col("first_slot") + F.col("within")).cast("long").alias("slot")
     return full.select("doc_id", "size", "text_crc32", "shard", slot, "row")
 
 
 def write_shards(records: DataFrame, path: str, shards: int = 40) -> None:
-    """Write the input rows of `records` with shard and slot, one folder per shard, in slot order."""
-    out = records.select("row.*", F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    out.repartition(shards, "_shard").sortWithinPartitions("_shard", "_slot").write.partitionBy("_shard").parquet(path)
+    """Write the input rows of `records` with shard and slot, one folder per shard, in slot order.
+
+    The folders' column is `_shard` and the slots' `_slot`, with more underscores behind where a row has such a column.
+    """
+    fields = [f.lower() for f in records.schema["row"].dataType.names]
+    shard, slot = (next(n for n in itertools.accumulate(itertools.repeat("_"), initial=c) if n not in fields) for c in ("_shard", "_slot"))
+    out = records.select("row.*", F.col("shard").alias(shard), F.col("slot").alias(slot))
+    out.repartitionByRange(shards, shard).sortWithinPartitions(shard, slot).write.partitionBy(shard).parquet(path)
 
 
 def numbered_records(documents: DataFrame, shards: int = 40) -> DataFrame:
