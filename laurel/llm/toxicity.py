@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -179,15 +179,19 @@ def _kinds() -> dict[str, np.ndarray]:
     return _CACHED["kinds"]
 
 
-def with_features(documents: DataFrame, terms: np.ndarray, weights: np.ndarray) -> DataFrame:
-    """doc_id and FEATURES of each row of `documents`."""
+def with_features(documents: DataFrame, terms: np.ndarray, weights: np.ndarray, held: Sequence[str] = ()) -> DataFrame:
+    """doc_id, FEATURES and the columns `held` of each row of `documents`."""
+    kept = documents.select("doc_id", "text", *held)
+    types = {f.name: f.dataType.simpleString() for f in kept.schema}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", BATCH_BYTES):
             found = text_features(batch.column("text"), terms, weights)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *(pa.array(found[n]) for n in FEATURES)], names=["doc_id", *FEATURES])
+            columns = [batch.column("doc_id").cast(pa.int64()), *(pa.array(found[n]) for n in FEATURES), *(batch.column(c) for c in held)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *FEATURES, *held])
 
-    return documents.select("doc_id", "text").mapInArrow(rows, "doc_id long, " + ", ".join(f"{n} double" for n in FEATURES))
+    made = [f"{n} double" for n in FEATURES] + [f"{c} {types[c]}" for c in held]
+    return kept.mapInArrow(rows, "doc_id long, " + ", ".join(made))
 
 
 def labelled_rows(documents: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> DataFrame:
@@ -195,7 +199,8 @@ def labelled_rows(documents: DataFrame, labels: DataFrame, most: int = TRAINING_
 
     The sample goes by a hash of the id, and keeps all of the rarer label that half of `most` allows. `stands_for`
     is the number of rows that a drawn one stands for; as weights, they keep the labels in their true proportion.
-    Ids with contradicting labels, null labels and repeated ids give the larger label once.
+    Ids with contradicting labels give the larger label. An id gives one row, however often it occurs: with the
+    least of its texts in code-point order.
     """
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     known = known.where(~held_out(F.col("doc_id")))
@@ -206,8 +211,11 @@ def labelled_rows(documents: DataFrame, labels: DataFrame, most: int = TRAINING_
     stands_for = F.greatest(1 / share, F.lit(1.0)).alias("stands_for")
     drawn = known.join(F.broadcast(sizes), "label").where(draw < share).select("doc_id", "label", stands_for)
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(10)).cast("int").alias("fold")
-    # About `most` rows of three numbers at every corpus size, so the texts need no shuffle.
-    return documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label", "stands_for", fold)
+    # About `most` rows of three numbers at every corpus size, so only texts that are learnt from are shuffled, one
+    # of each id and task.
+    text = F.coalesce("text", F.lit(""))
+    found = documents.select("doc_id", text.alias("text")).join(F.broadcast(drawn), "doc_id")
+    return found.groupBy("doc_id", "label", "stands_for").agg(F.min("text").alias("text")).select("doc_id", "text", "label", "stands_for", fold)
 
 
 def toxicity(
@@ -220,7 +228,7 @@ def toxicity(
     earlier one has seen. Trees and calibration weigh each row by those it was drawn for, so a score is a chance
     under the labels' own proportion, however much was thinned. Scores use the whole text of every document
     and nothing else; empty and null texts have features 0 and a score like others. Repeated and null ids get
-    a row each. Without labels of both kinds the score is the share of label 1 (0 without any). Further
+    a row each; an id that repeats is learnt from once. Without labels of both kinds the score is the share of label 1 (0 without any). Further
     columns are ignored.
     """
     training = stored_copy(labelled_rows(documents, labels, most))
@@ -233,8 +241,7 @@ def toxicity(
     terms, weights = learn_lexicon(training.where("fold < 5"))
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     rest = training.where("fold >= 5")
-    features = with_features(rest, terms, weights).join(rest.select("doc_id", "label", "stands_for", "fold"), "doc_id")
-    features = stored_copy(features)
+    features = stored_copy(with_features(rest, terms, weights, held=("label", "stands_for", "fold")))
     rest = assembler.transform(features).select("features", F.col("label").cast("double").alias("label"), "stands_for", "fold")
     grown = rest.where("fold < 8").cache()
     if grown.select("label").distinct().count() < 2:
