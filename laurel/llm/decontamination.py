@@ -15,6 +15,11 @@ BATCH_BYTES = 1 << 20
 WINDOW = 5
 # Words of a window that may not be slots.
 LITERALS = 3
+# Covered words that are no chance, and the share of an item's words that shorter items need in their place.
+SURE_WORDS = 13
+SHORT_SHARE = 0.8
+# Items with fewer words must be met whole and with their own values: their templates are common phrases.
+WHOLE_BELOW = 8
 # Size of the filter that spares most windows of the corpus the join, in bits; fixed, whatever the benchmark.
 FILTER_BITS = 1 << 24
 # Words for numbers and units.
@@ -173,7 +178,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, least:
     Texts become templates: numbers, units and names give way to typed slots, in one reading with names as
     words and in one with names as slots. Windows of `size` template words, of which at least LITERALS are
     words, are joined by hash; windows with fewer are joined by their real words. In a stretch of the document twice as long as the item, the item's words that
-    matched windows cover must be a share of `least` or more, and slots must be filled consistently: a value
+    matched windows cover must be a share of `least` or more, and SURE_WORDS words or a share SHORT_SHARE, so that a
+    phrase which a short item shares with clean texts does not do; of items below WHOLE_BELOW words all, with their
+    own values. Slots must be filled consistently: a value
     of the item goes to one value of the document for at least a share `consistent` of its values, as in a
     question asked again with other numbers. Of several stretches the best counts. A word of the item that
     windows align with several places, as clauses of one template do, takes its value from the alignment that
@@ -217,7 +224,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, least:
         slot = F.col(f"{choice}.slot")
         sets.append(F.size(F.collect_set(F.when(slot, F.struct(f"{choice}.asked", f"{choice}.given")))).alias(f"{choice}_pairs"))
         sets.append(F.size(F.collect_set(F.when(slot, F.col(f"{choice}.asked")))).cast("long").alias(f"{choice}_slots"))
-    zones = words.groupBy(*zone).agg(F.count("*").alias("covered"), *sets)
+    zones = words.groupBy(*zone).agg(F.count("*").alias("covered"), F.count_if("equal.own").alias("own"), *sets)
 
     def judged(choice: str) -> Column:
         # Every value beyond one for a slot value is a contradiction.
@@ -225,9 +232,11 @@ def leaks(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, least:
         agreed = F.when(slots > 0, 1 - (pairs - slots) / slots).otherwise(F.lit(1.0))
         return F.struct(F.greatest(agreed, F.lit(0.0)).alias("consistency"), slots.alias("slots"))
 
-    zones = zones.withColumn("judged", F.greatest(judged("aligned"), judged("equal"))).select(*zone, "covered", "judged.*")
+    zones = zones.withColumn("judged", F.greatest(judged("aligned"), judged("equal"))).select(*zone, "covered", "own", "judged.*")
     zones = zones.withColumn("share", F.col("covered") / F.col("item_words"))
-    zones = zones.where((F.col("share") >= least) & (F.col("consistency") >= consistent))
+    long_enough = (F.col("covered") >= SURE_WORDS) | (F.col("share") >= SHORT_SHARE)
+    whole = (F.col("item_words") >= WHOLE_BELOW) | (F.col("own") == F.col("item_words"))
+    zones = zones.where((F.col("share") >= least) & long_enough & whole & (F.col("consistency") >= consistent))
     best = F.max(F.struct("covered", "consistency", "slots", "share")).alias("best")
     out = zones.groupBy("doc_id", "item_id", "item_words").agg(best)
     return out.select("doc_id", "item_id", "best.covered", "item_words", "best.share", "best.slots", "best.consistency")
