@@ -21,9 +21,11 @@ MEMBER = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 ARCHIVE_BYTES = 64 << 20
 STEP = 1 << 18
+# Packed bytes that are unpacked at once.
+PACKED = 1 << 15
 RECORDS = (
     "path string, offset long, length long, kind string, reason string, record_id string, record_type string, url string, "
-    "refers_to_id string, payload_digest string, payload_bytes long, payload binary"
+    "refers_to_id string, payload_digest string, payload_bytes long, payload binary, inner long, inner_length long"
 )
 _FIELDS = [x.split()[0] for x in RECORDS.split(", ")]
 _SCHEMA = pa.schema([(n, {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}[x.split()[1]]) for n, x in zip(_FIELDS, RECORDS.split(", "))])
@@ -164,7 +166,9 @@ def parsed_record(data: bytes) -> tuple[dict, int]:
     block = data[start : start + length]
     if len(block) < length or data[start + length : start + length + 4] != b"\r\n\r\n":
         raise Damaged("record is cut or its end is missing")
-    if (digest := headers.get("warc-block-digest", "")).startswith("sha1:") and digest[5:] != sha1_base32(block):
+    digest = headers.get("warc-block-digest", "")
+    checked = digest.startswith("sha1:")
+    if checked and digest[5:] != sha1_base32(block):
         raise Damaged("block digest differs")
     http, has_http, payload = block.partition(b"\r\n\r\n")
     if not (http.startswith(b"HTTP/") and has_http):
@@ -180,37 +184,80 @@ def parsed_record(data: bytes) -> tuple[dict, int]:
             raise Damaged("payload digest differs")
     fields = {
         "record_id": headers.get("warc-record-id"), "record_type": headers["warc-type"], "url": headers.get("warc-target-uri"),
-        "refers_to_id": headers.get("warc-refers-to"), "payload_digest": own, "payload_bytes": size, "payload": payload,
+        "refers_to_id": headers.get("warc-refers-to"), "payload_digest": own, "payload_bytes": size, "payload": payload, "checked": checked,
     }
     return fields, start + length + 4
 
 
-def _member(source: Source, offset: int, most: int) -> tuple[bytes, int]:
-    """Content of the gzip member at `offset` and the offset behind it; raises Damaged."""
-    unpack, out, held, at = zlib.decompressobj(31), [], 0, offset
-    try:
-        while not unpack.eof:
-            part = source.at(at, STEP)
-            if not part:
-                raise Damaged("member is cut")
-            data = unpack.decompress(part)
-            if not out and data and not b"WARC/1.".startswith(data[:7]):
-                raise Damaged("member holds no record")
-            held += len(data)
-            out.append(data)
-            if held > most:
-                raise Damaged(f"member is larger than {most} bytes")
-            at += len(part)
-    except zlib.error as e:
-        raise Damaged(f"gzip: {e}") from None
-    return b"".join(out), at - len(unpack.unused_data)
-
-
-def _plain(source: Source, offset: int, most: int) -> tuple[dict, int]:
-    """Record of an archive that is not compressed, and the offset behind it."""
+class Member:
+    """Unpacked bytes of the gzip member at `offset` of an archive, read forwards.
+
+    Only what was asked for last is held, so the size of a member does not matter. What unpacks before an error
+    is given out; `fault` then has the reason, and `after` the offset where reading ended.
+    """
+
+    def __init__(self, source: Source, offset: int):
+        self.source, self.offset, self.after = source, offset, offset
+        self.unpack, self.start, self.held = zlib.decompressobj(31), 0, bytearray()
+        self.ended, self.fault, self.whole = False, None, None
+
+    def _more(self) -> None:
+        part = self.source.at(self.after, PACKED)
+        if not part:
+            self.ended, self.fault = True, "member is cut"
+            return
+        before = self.unpack.copy()
+        try:
+            self.held += self.unpack.decompress(part)
+            self.after += len(part) - len(self.unpack.unused_data)
+            self.ended = self.unpack.eof
+        except zlib.error as e:
+            # An error loses the output of its call, so the part is gone through in bytes up to there.
+            self.ended, self.fault = True, f"gzip: {e}"
+            for k in range(len(part)):
+                try:
+                    self.held += before.decompress(part[k : k + 1])
+                except zlib.error:
+                    self.after += k
+                    break
+
+    def at(self, offset: int, count: int) -> bytes:
+        # Cut now and then only, as each cut moves the bytes behind it.
+        if offset - self.start > len(self.held) // 2:
+            del self.held[: offset - self.start]
+            self.start = offset
+        while not self.ended and self.start + len(self.held) < offset + count:
+            self._more()
+        a = offset - self.start
+        return bytes(self.held[a : a + count])
+
+    def find(self, what: re.Pattern, offset: int) -> int:
+        """Offset of the next match at or behind `offset`, or the end of the bytes."""
+        while True:
+            part = self.at(offset, STEP)
+            if m := what.search(part):
+                return offset + m.start()
+            if len(part) < STEP:
+                return offset + len(part)
+            # A match may lie across two parts.
+            offset += STEP - 16
+
+    def intact(self) -> bool:
+        """Whether the whole member unpacks with its checksum; it is read once more for that, in parts."""
+        if self.whole is None:
+            probe = Member(self.source, self.offset)
+            while not probe.ended:
+                probe._more()
+                probe.held.clear()
+            self.whole = probe.fault is None
+        return self.whole
+
+
+def _record(bytes_of: Source | Member, offset: int, most: int) -> tuple[dict, int]:
+    """Record at `offset` of unpacked bytes, and the offset behind it; raises Damaged."""
     count = 1 << 14
     while True:
-        data = source.at(offset, count)
+        data = bytes_of.at(offset, count)
         try:
             fields, length = parsed_record(data)
             return fields, offset + length
@@ -223,46 +270,92 @@ def _plain(source: Source, offset: int, most: int) -> tuple[dict, int]:
             count = need
 
 
+def member_rows(member: Member, most: int) -> Iterator[dict]:
+    """Records of a gzip member and the gaps between them, by their offset and length in the unpacked bytes.
+
+    A record without a digest of its own counts if the checksum of the member holds; the record at which a damaged
+    member breaks off does not count. Nothing for a member without
+    a record that passes, whose `fault` then has the reason.
+    """
+    place, lost, reason, some = 0, None, None, False
+    while member.at(place, 1):
+        try:
+            fields, after = _record(member, place, most)
+            if not fields.pop("checked") and not member.intact():
+                raise Damaged("no digest, and the checksum of the member fails")
+            if not member.at(after, 1) and member.fault:
+                raise Damaged(member.fault)
+        except Damaged as problem:
+            if not some and lost is None and not b"WARC/1.".startswith(member.at(place, 7)):
+                problem = Damaged("member holds no record")
+            lost, reason = (place, str(problem)) if lost is None else (lost, reason)
+            place = member.find(VERSION, place + 1)
+            continue
+        if lost is not None:
+            yield {"kind": "gap", "reason": reason, "inner": lost, "inner_length": place - lost}
+            lost = None
+        some = True
+        yield fields | {"kind": "record", "inner": place, "inner_length": after - place}
+        place = after
+    if lost is not None and some:
+        yield {"kind": "gap", "reason": reason, "inner": lost, "inner_length": place - lost}
+    if not some:
+        member.fault = member.fault or reason or "member holds no record"
+
+
 def salvaged(file, most: int = 1 << 30) -> Iterator[dict]:
     """Records (kind 'record') and quarantined stretches (kind 'gap') of an archive, in order.
 
-    Each record is checked: gzip checksum, version line, header, length, end, block and payload digests.
-    After a failed check the reader looks for the next place where a gzip member or a version line begins a
-    record that passes, logs the bytes between as a gap with the reason, and goes on from there.
+    Each record is checked: version line, header, length, end, block and payload digests, and the gzip checksum
+    of its member where it has no digest. After a failed check the reader looks for the next place where a gzip
+    member or a version line begins a record that passes, logs the bytes between as a gap with the reason, and
+    goes on from there. A member is read as a stream: damage inside costs the records that it meets, and the
+    next version line of the unpacked bytes is looked for; records ahead of the one at which unpacking fails are kept. Rows
+    of a member have its offset, and their own offset and length in its unpacked bytes (`inner`, `inner_length`);
+    `length`, its bytes in the archive, stands at the member's last row and is 0 at those before. Records above
+    `most` bytes are quarantined.
     """
-    source, offset = Source(file), 0
-
-    def one(at: int) -> tuple[list[dict], int]:
-        if source.at(at, 3) == MEMBER:
-            data, after = _member(source, at, most)
-            found, inside = [], 0
-            while inside < len(data):
-                fields, length = parsed_record(data[inside:] if inside else data)
-                found.append(fields)
-                inside += length
-            return found, after
-        fields, after = _plain(source, at, most)
-        return [fields], after
-
+    source, offset, lost = Source(file), 0, None
     start = re.compile(re.escape(MEMBER) + b"|" + VERSION.pattern)
+
+    def gap(end: int) -> dict:
+        return {"kind": "gap", "reason": lost[1], "offset": min(lost[0], end), "length": max(0, end - lost[0])}
+
     while offset < source.size:
-        try:
-            found, after = one(offset)
-        except Damaged as problem:
-            gap, reason, found = offset, str(problem), None
-            while found is None:
+        if source.at(offset, 3) != MEMBER:
+            try:
+                fields, after = _record(source, offset, most)
+            except Damaged as problem:
+                lost = lost or (offset, str(problem))
                 offset = source.find(start, offset + 1)
-                if offset >= source.size:
-                    found, after = [], source.size
-                    break
-                try:
-                    found, after = one(offset)
-                except Damaged:
-                    pass
-            yield {"kind": "gap", "reason": reason, "offset": gap, "length": offset - gap}
-        for fields in found:
+                continue
+            if lost:
+                yield gap(offset)
+            del fields["checked"]
             yield fields | {"kind": "record", "offset": offset, "length": after - offset}
-        offset = after
+            offset, lost = after, None
+            continue
+        member, held = Member(source, offset), None
+        for row in member_rows(member, most):
+            if held is None and lost:
+                yield gap(offset)
+                lost = None
+            if held:
+                yield held
+            # A row waits for the next one, as the last has the length of the member.
+            held = row | {"offset": offset, "length": 0}
+        if held:
+            yield held | {"length": member.after - offset}
+        if member.fault:
+            lost = lost or (member.after if held else offset, member.fault)
+            # A member that is cut may have run into the next one. Version lines in front of its break are those of
+            # the records that it gave, where it only stores its bytes.
+            after = source.find(start if not held else re.compile(re.escape(MEMBER)), offset + 1)
+            offset = source.find(start, member.after) if held and after >= member.after else after
+        else:
+            offset = member.after
+    if lost:
+        yield gap(source.size)
 
 
 def archive_rows(path: str, records: int | None = None) -> Iterator[dict]:
