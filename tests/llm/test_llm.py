@@ -328,6 +328,41 @@ def test_warc_salvage(compress):
     assert [r["kind"] for r in warc.salvaged(io.BytesIO(b""))] == []
 
 
+def test_warc_salvage_inside_members():
+    records = [warc.record_bytes(k, f"http://a/{k}", random.Random(k).randbytes(3000), None, "2024-01-01T00:00:00Z") for k in range(10)]
+    starts = np.cumsum([0] + [len(r) for r in records])
+    ids = lambda rows: [int(r["record_id"][10:-1]) for r in rows if r["kind"] == "record"]
+    hurt = bytearray(b"".join(records))
+    hurt[starts[4] + 1500] ^= 0xFF
+    packed = gzip.compress(bytes(hurt))
+    # A bad record between good ones, in an archive between two whole members.
+    ends = [gzip.compress(records[0]), gzip.compress(records[1])]
+    rows = list(warc.salvaged(io.BytesIO(ends[0] + packed + ends[1])))
+    assert ids(rows) == [0, 0, 1, 2, 3, 5, 6, 7, 8, 9, 1]
+    gap = [r for r in rows if r["kind"] == "gap"]
+    assert [(g["offset"], g["inner"], g["inner_length"]) for g in gap] == [(len(ends[0]), starts[4], len(records[4]))]
+    assert "digest" in gap[0]["reason"] and sum(r["length"] for r in rows) == len(ends[0] + packed + ends[1])
+    # What unpacks ahead of a cut end, or of damage to the packed bytes, is kept, and later members are found.
+    whole = gzip.compress(b"".join(records))
+    cut = list(warc.salvaged(io.BytesIO(whole[: len(whole) * 7 // 10] + ends[1])))
+    assert ids(cut)[:6] == [0, 1, 2, 3, 4, 5] and ids(cut)[-1] == 1 and any(r["kind"] == "gap" for r in cut)
+    torn = bytearray(gzip.compress(b"".join(records), 0))
+    torn[-8:-4] = b"\0\0\0\0"
+    rows = list(warc.salvaged(io.BytesIO(bytes(torn) + ends[1])))
+    assert ids(rows) == [*range(9), 1] and "gzip" in [r for r in rows if r["kind"] == "gap"][0]["reason"]
+    # Without digests records rest on the checksum of the member.
+    bare = [re.sub(rb"WARC-(Block|Payload)-Digest: [^\r]*\r\n", b"", r) for r in (warc.record_bytes(k, None, prose(k, 300).encode(), None, "2024-01-01T00:00:00Z") for k in range(10))]
+    torn = bytearray(gzip.compress(b"".join(bare)))
+    assert ids(warc.salvaged(io.BytesIO(bytes(torn)))) == [*range(10)]
+    torn[len(torn) // 2] ^= 0xFF
+    assert ids(warc.salvaged(io.BytesIO(bytes(torn)))) == []
+    # A limit bounds records, not members.
+    assert ids(warc.salvaged(io.BytesIO(whole), most=5000)) == [*range(10)]
+    large = warc.record_bytes(70, None, b"x" * 40000, None, "2024-01-01T00:00:00Z")
+    rows = warc.salvaged(io.BytesIO(gzip.compress(records[0] + large + records[1])), most=5000)
+    assert ids(rows) == [0, 1]
+
+
 def test_warc_read_errors_are_no_gaps(spark, tmp_path, monkeypatch):
     data = b"".join(gzip.compress(warc.record_bytes(k, None, random.Random(k).randbytes(1000), None, "2024-01-01T00:00:00Z")) for k in range(600))
 
@@ -426,6 +461,28 @@ def test_leaks(spark):
     assert decontamination.leaks(docs, benchmark.limit(0)).count() == 0 and decontamination.leaks(docs.limit(0), benchmark).count() == 0
 
 
+def test_short_items_need_more_than_a_phrase(spark):
+    items = [
+        (1, "What is the capital of France and why"), (2, "she went to the market to buy ten loaves"),
+        (3, "Who wrote the book of songs"), (4, "If a train goes 60 km in 2 hours how far does it go in 5 hours at that speed"),
+        (5, prose(70, 40)),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    words = [t.split() for _, t in items]
+    clean = [
+        "Many ask what is the capital of something here", "yesterday he went to the market to see a friend",
+        "nobody knows who wrote the book of Psalms at all", "if a train goes 60 km in 2 hours it is slow",
+        " ".join(words[4][:12]) + " and then something else altogether",
+    ]
+    leaked = {k: prose(80 + k, 50) + " so: " + t + ". " + prose(90 + k, 50) for k, t in items}
+    again = items[3][1].replace("60", "90").replace("2 hours", "3 hours").replace("5 hours", "7 hours")
+    capital = items[0][1].replace("France", "Peru")
+    rows = [(i, t, "en", "s") for i, t in enumerate(clean)] + [(100 + k, t, "en", "s") for k, t in leaked.items()]
+    rows += [(204, again, "en", "s"), (201, "Tell me. " + capital, "en", "s")]
+    got = {(r.doc_id, r.item_id) for r in decontamination.leaks(made(spark, rows), benchmark).collect()}
+    assert got == {(100 + k, k) for k in leaked} | {(204, 4), (201, 1)}
+
+
 def test_slots_have_to_agree(spark):
     item = "From 3 boxes take 4 pens then 5 cups then 6 jars then 7 pots and see what is left over"
     benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
@@ -500,6 +557,16 @@ def test_thinned_labels_keep_their_base_rate(spark):
     assert 0.04 < np.mean([x.score for x in got]) < 0.2 and np.mean([x.predicted for x in got]) < 0.1
 
 
+def test_repeated_training_ids_are_learnt_from_once(spark):
+    docs = made(spark, [(k, prose(k, 12), "en", "s") for k in range(60)] + [(1, f"again {k}", "en", "s") for k in range(300)])
+    marks = spark.createDataFrame([(k, k % 2) for k in range(60)] * 2, "doc_id long, toxic int")
+    known = toxicity.labelled_rows(docs, marks)
+    ids = [r.doc_id for r in known.collect()]
+    assert len(ids) == len(set(ids)) == sum(zlib.crc32(str(k).encode()) % 5 != 0 for k in range(60))
+    assert 1 in ids and known.where("doc_id = 1").first().text == min([prose(1, 12)] + [f"again {k}" for k in range(300)])
+    assert toxicity.toxicity(docs, marks, rounds=2, depth=2).count() == 360
+
+
 def test_text_features_by_hand():
     data, ends = tasks.string_bytes(pa.array(["idiot"]))
     term = tasks.word_hashes(data, ends, toxicity._LETTERS)[0]
@@ -534,6 +601,33 @@ def test_shards_are_even_and_gapless(spark):
     assert sharding.shard_records(made(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("hot", [None, 7])
+def test_equal_texts_of_one_id_spread(spark, hot):
+    # Copies that neither their texts nor their ids tell apart, and the law by brute force over the result.
+    rows = [(hot, "hot text " * 50, "en", "s") for _ in range(1000)] + [(k + 100, prose(k, 12), "en", "s") for k in range(500)]
+    got = sharding.shard_records(made(spark, rows), shards=8).collect()
+    size, slots = Counter(), {}
+    for x in got:
+        size[x.shard] += x["size"]
+        slots.setdefault(x.shard, []).append(x.slot)
+    assert sum(size.values()) == sum(len(t.encode()) + 16 for _, t, _, _ in rows)
+    assert len(size) == 8 and max(size.values()) <= 1.1 * min(size.values())
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert Counter((x.doc_id, x.text_crc32) for x in got) == Counter((i, zlib.crc32(t.encode())) for i, t, _, _ in rows)
+
+
+def test_written_shards_hold_their_rows_in_order(spark, tmp_path):
+    docs = made(spark, [(k, prose(k, 9), "en", "s") for k in range(90)]).selectExpr("*", "1 as _shard", "2 as _SLOT")
+    path = str(tmp_path / "shards")
+    sharding.write_shards(sharding.shard_records(docs, shards=4), path, shards=4)
+    back = spark.read.parquet(path).collect()
+    want = {(x.doc_id, x.shard, x.slot) for x in sharding.shard_records(docs, shards=4).collect()}
+    assert {(x.doc_id, x["_shard_"], x["_slot_"]) for x in back} == want and {x["_shard"] for x in back} == {1}
+    # A folder holds one file, so a shard has one writer.
+    folders = [f for f in os.listdir(path) if f.startswith("_shard_=")]
+    assert len(folders) == len({x[1] for x in want}) and all(sum(n.endswith(".parquet") for n in os.listdir(f"{path}/{f}")) == 1 for f in folders)
+
+
 # Helpers, pipeline and registration
 
 
