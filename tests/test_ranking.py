@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +107,25 @@ def test_season_search_lists_folds_without_training_rows(spark):
     found = models.season_search(df, [{"a": 1}], score, ["week"], "player", folds=5)
     assert rows(found, "season", "groups", "top_1_hit_rate") == [(1, 0, None), (2, 1, 1.0)]
     assert models.best_setting(found).first().mean_top_1 == 1.0
+
+
+@pytest.mark.parametrize("points", [7, 500])
+def test_density_against_all_kernels(spark, points):
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.normal(10, 2, 3000), np.repeat([4.0, 4.5, 30.0], 200), rng.exponential(1, 500), [80.0]])
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)] * 5, "v double")
+    got = {r.point: (r.x, r.density) for r in ranking.density(df, "v", points).collect()}
+    h = values.std(ddof=1) * len(values) ** -0.2
+    assert sorted(got) == list(range(points))
+    for p in range(points):
+        x = values.min() + (values.max() - values.min()) * p / (points - 1)
+        want = np.exp(-(((x - values) / h) ** 2) / 2).sum() / (len(values) * h * np.sqrt(2 * np.pi))
+        assert got[p][0] == pytest.approx(x, rel=1e-12) and got[p][1] == pytest.approx(want, rel=1e-9, abs=1e-13)
+
+
+def test_density_of_columns_without_spread(spark):
+    for values in ([], [None, None], [2.0], [2.0, 2.0, 2.0]):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        assert ranking.density(df, "v").count() == 0
+    pair = spark.createDataFrame([(0,), (1,)], "v int")
+    assert ranking.density(pair, "v", 3).count() == 3
