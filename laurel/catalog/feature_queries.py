@@ -344,14 +344,13 @@ def fea_10(t):
 SELECT x.gameid, x.player_id, x.teamid, x.week_start, conf.conference,
        CAST(CASE WHEN w.player_id IS NULL THEN 0 ELSE 1 END AS INTEGER) AS won_award
 FROM b2 x JOIN conf ON x.teamid = conf.teamid
-JOIN (SELECT DISTINCT week_start, conference FROM b3 WHERE MONTH(date) <> 7) o
+JOIN (SELECT DISTINCT week_start, conference FROM b3) o
   ON o.week_start = x.week_start AND o.conference = conf.conference
-LEFT JOIN b3 w ON w.week_start = x.week_start AND w.conference = conf.conference AND w.player_id = x.player_id
-WHERE MONTH(o.week_start + 7) <> 7"""),
+LEFT JOIN b3 w ON w.week_start = x.week_start AND w.conference = conf.conference AND w.player_id = x.player_id"""),
 )
 def fea_11(t):
     rows = b.box_table(t).select("gameid", "player_id", "teamid", "week_start")
-    return features.label_winners(rows, b.awards(t).where("month(date) <> 7"), b.conferences(t))
+    return features.label_winners(rows, b.awards(t), b.conferences(t))
 
 
 @query("fea_12", sql("SELECT player_id, conference, week_start, date FROM open"))
