@@ -444,8 +444,5 @@ def ml_18(t):
 def ml_19(t):
     train, test = splits.season_split(candidates(t))
     train, test = splits.standardise(train, STATS, test)
-    balanced = models.repeat_positives(train, "y")
-    stages = models.feature_stages(balanced.select(*STATS), exclude=(), scale=False)
-    learner = models.perceptron(len(STATS), hidden=(8, 4), max_iter=100)
-    scored = models.score(models.fit(balanced, stages, learner), test)
-    return scored.select(*WEEK, "conference", "y", "score")
+    model = models.fit_group_perceptron(train, GROUP, STATS, hidden=(256, 128, 64), epochs=40)
+    return model.score(test).select(*WEEK, "conference", "y", "score")

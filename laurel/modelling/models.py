@@ -1,15 +1,18 @@
-"""Models on feature tables: pipelines, classifiers, a pairwise ranker, search, saved models.
+"""Models on feature tables: pipelines, classifiers, rankers, search, saved models.
 
-Every fit is a Spark ML job over the partitions of the training rows; the driver holds coefficients,
-trees and fold metrics only.
+Every fit is a Spark job over the partitions of the training rows; the driver holds coefficients, trees, the weights of
+a perceptron and fold metrics only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -225,6 +228,123 @@ def fit_ranking_trees(
     return RankingTrees(trees[: max(best, 1)], step, list(columns), losses)
 
 
+@dataclass
+class GroupPerceptron:
+    """A perceptron with one output, the score of a row; null features count as 0."""
+
+    layers: list  # (weights, offsets) of each layer
+    columns: list[str]
+    losses: list[float]
+
+    def score(self, df: DataFrame, name: str = "score") -> DataFrame:
+        layers, width = self.layers, len(self.columns)
+
+        @F.pandas_udf("double")
+        def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for rows in batches:
+                x = np.vstack(rows.to_numpy()) if len(rows) else np.empty((0, width))
+                yield pd.Series(_forward(layers, x)[-1][:, 0])
+
+        return df.withColumn(name, scored(F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in self.columns])))
+
+
+def _forward(layers: list, x: np.ndarray) -> list[np.ndarray]:
+    """Input and outputs of all layers; all but the last are cut at 0."""
+    out = [x]
+    for k, (weights, offsets) in enumerate(layers):
+        x = x @ weights + offsets
+        x = x if k == len(layers) - 1 else np.maximum(x, 0)
+        out.append(x)
+    return out
+
+
+def _gradient(layers: list, x: np.ndarray, pull: np.ndarray) -> np.ndarray:
+    """Sum over rows of the gradient of all weights, flat, where the score of a row has the gradient `-pull`."""
+    values, parts = _forward(layers, x), []
+    slope = -pull[:, None]
+    for k in range(len(layers) - 1, -1, -1):
+        parts += [slope.sum(axis=0), (values[k].T @ slope).ravel()]
+        if k:
+            slope = (slope @ layers[k][0].T) * (values[k] > 0)
+    return np.concatenate(parts[::-1])
+
+
+def fit_group_perceptron(
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    label: str = "y",
+    hidden: Sequence[int] = (256, 128, 64),
+    epochs: int = 60,
+    step: float = 0.003,
+    margin: float = 1.0,
+    seed: int = 42,
+    max_rows: int = GROUP_ROWS,
+) -> GroupPerceptron:
+    """Perceptron that ranks within groups: it lowers the mean margin loss over winner-loser pairs of each group.
+
+    An epoch is one job: tasks score their rows, `margin_gradients` says how far each row is pulled without forming a
+    pair, and tasks add up the gradients of the weights, which are summed weight by weight. Only those sums, as many
+    as the layers have weights, come to the driver, which steps (Adam). A group may be of any size, and groups weigh
+    the same. `losses` has the mean pull of the winners before each step and at the end; the weights with the least
+    of them are kept. Groups without both labels are left out; without any group the weights stay as they began.
+    """
+    features = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns]).alias("_x")
+    rows = stored_copy(with_sides(df, keys, label).select(*keys, label, "_winners", "_losers", features))
+    groups = rows.select(*keys).distinct().count()
+    largest = rows.agg(F.max(F.col("_winners") + F.col("_losers"))).first()[0] or 0
+    limit = max_rows if largest > max_rows else None
+    random, sizes = np.random.default_rng(seed), [len(columns), *hidden, 1]
+    layers = [(random.normal(0, np.sqrt(2 / a), (a, b)), np.zeros(b)) for a, b in zip(sizes, sizes[1:])]
+    count, width = sum(w.size + o.size for w, o in layers), len(columns)
+
+    def unpacked(flat: np.ndarray) -> list:
+        out, at = [], 0
+        for a, b in zip(sizes, sizes[1:]):
+            out.append((flat[at : at + a * b].reshape(a, b), flat[at + a * b : at + a * b + b]))
+            at += a * b + b
+        return out
+
+    def summed(layers: list) -> tuple[np.ndarray, float]:
+        @F.pandas_udf("double")
+        def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for x in batches:
+                yield pd.Series(_forward(layers, np.vstack(x.to_numpy()))[-1][:, 0] if len(x) else [], dtype=float)
+
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, any_rows = np.zeros(count + 1), False
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                pull, weight, wins = (np.asarray(batch.column(c).cast(pa.float64())) for c in ("_pull", "_weight", "_wins"))
+                x = np.asarray(batch.column("_x").flatten()).reshape(-1, width)
+                total[:-1] += _gradient(layers, x, pull * weight)
+                total[-1] += (pull * weight * wins).sum()
+                any_rows = True
+            if any_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(count + 1, dtype=np.int32)), pa.array(total)], names=["slot", "value"])
+
+        pulled = margin_gradients(rows.withColumn("_score", scored("_x")), keys, "_score", label, margin, max_rows=limit)
+        pulled = pulled.select("_x", "_pull", "_weight", (F.col(label) == 1).cast("double").alias("_wins"))
+        found = pulled.mapInArrow(sums, "slot int, value double").groupBy("slot").agg(F.sum("value").alias("value")).toPandas()
+        flat = np.zeros(count + 1)
+        flat[found["slot"].to_numpy()] = found["value"].to_numpy()
+        return flat[:-1] / max(1, groups), flat[-1] / max(1, groups)
+
+    flat = np.concatenate([part.ravel() for layer in layers for part in layer])
+    first, second, losses, best = np.zeros(count), np.zeros(count), [], flat
+    for epoch in range(epochs + 1):
+        slope, loss = summed(unpacked(flat))
+        best = flat if not losses or loss < min(losses) else best
+        losses.append(loss)
+        if epoch == epochs or loss == 0:
+            break
+        first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
+        scale = np.sqrt(1 - 0.999 ** (epoch + 1)) / (1 - 0.9 ** (epoch + 1))
+        flat = flat - step * scale * first / (np.sqrt(second) + 1e-8)
+    return GroupPerceptron(unpacked(best), list(columns), losses)
+
+
 def perceptron(inputs: int, hidden: Sequence[int] = (64, 32), label: str = "y", max_iter: int = 100, seed: int = 42):
     return MultilayerPerceptronClassifier(
         labelCol=label, featuresCol="features", layers=[inputs, *hidden, 2], maxIter=max_iter, seed=seed

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from conftest import rows
@@ -86,3 +87,50 @@ def test_scan_groups_carries_state_over_batches(spark):
         assert groups.scan_groups(df.limit(0), ["k"], ["t"], lambda: 0, step, finish, "k string, t int, load int").count() == 0
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_group_perceptron_ranks_by_a_planted_rule(spark):
+    df = planted(spark).cache()
+    centred = df.withColumns({"x": (F.col("x") - 5) / 3, "z": F.col("z") - 0.5})
+    train, test = centred.where("season < 3"), centred.where("season = 3")
+    model = models.fit_group_perceptron(train, ["season", "g"], ["x", "z"], hidden=(32, 16), epochs=20, step=0.02)
+    begin = models.fit_group_perceptron(train, ["season", "g"], ["x", "z"], hidden=(32, 16), epochs=0)
+    assert len(model.losses) == 21 and min(model.losses) < 0.5 * model.losses[0] and begin.losses == model.losses[:1]
+    loss = [ranking.margin_loss(m.score(train), ["season", "g"]).first()["margin_loss"] for m in (begin, model)]
+    assert loss[1] < 0.5 * loss[0]
+    rate = ranking.hit_rates(model.score(test), ["season", "g"], "id", (1,)).first()["top_1_hit_rate"]
+    linear = models.linear_score(test, models.fit_pairwise(train, ["season", "g"], ["x", "z"]))
+    assert rate > ranking.hit_rates(linear, ["season", "g"], "id", (1,)).first()["top_1_hit_rate"] + 0.2
+
+
+def test_perceptron_gradient_by_differences():
+    rng = np.random.default_rng(1)
+    layers = [(rng.normal(size=(3, 5)), rng.normal(size=5)), (rng.normal(size=(5, 4)), rng.normal(size=4)), (rng.normal(size=(4, 1)), rng.normal(size=1))]
+    x, pull = rng.normal(size=(20, 3)), rng.normal(size=20)
+    got, at = models._gradient(layers, x, pull), 0
+    for layer in layers:
+        for part in layer:
+            for k in range(part.size):
+                spots, old = part.reshape(-1), part.reshape(-1)[k]
+                ends = []
+                for shift in (1e-6, -1e-6):
+                    spots[k] = old + shift
+                    ends.append(-(pull * models._forward(layers, x)[-1][:, 0]).sum())
+                spots[k] = old
+                assert got[at] == pytest.approx((ends[0] - ends[1]) / 2e-6, rel=1e-4, abs=1e-6)
+                at += 1
+    assert at == len(got)
+
+
+def test_group_perceptron_on_odd_tables(spark):
+    schema = "g int, x double, y int"
+    one_sided = spark.createDataFrame([(1, 0.5, 1), (2, 0.1, 0), (2, None, 0)], schema)
+    for df in (one_sided, one_sided.limit(0)):
+        model = models.fit_group_perceptron(df, ["g"], ["x"], hidden=(4,), epochs=2)
+        assert model.losses == [0.0]
+    scores = {r.x: r.score for r in model.score(one_sided).collect()}
+    assert len(scores) == 3 and all(v is not None for v in scores.values())
+    # A hot group and a cut into chunks give the same weights.
+    hot = spark.createDataFrame([(int(k % 3 == 0), float(k % 17), int(k % 40 == 0)) for k in range(400)], schema)
+    a, b = (models.fit_group_perceptron(hot, ["g"], ["x"], hidden=(4,), epochs=2, max_rows=m) for m in (1000, 50))
+    assert a.losses == pytest.approx(b.losses)
