@@ -16,7 +16,7 @@ from laurel.session import scratch_path, stored_copy
 BLOCK_BYTES = 4 << 20
 # Phrases of one index bucket, about.
 BUCKET_PHRASES = 1 << 20
-# Place of rows without an id: behind all others, and never a reference.
+# Place of rows without an id: no id is larger, so they are references for none.
 NO_ID = np.iinfo(np.int64).max
 BLOCK_SCHEMA = "block long, n_words long, ids array<long>, texts array<string>"
 
@@ -31,12 +31,12 @@ def _blocks(documents: DataFrame) -> DataFrame:
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition = TaskContext.get().partitionId()
         for number, batch in enumerate(sliced(batches, "text", BLOCK_BYTES)):
-            ids = np.asarray(batch.column("doc_id").cast(pa.int64()).fill_null(NO_ID))
-            order = np.argsort(ids, kind="stable")
+            ids = batch.column("doc_id").cast(pa.int64())
+            order = np.argsort(_places(ids), kind="stable")
             texts = batch.column("text").fill_null("").take(pa.array(order))
             words = sum(len(x.as_py().encode().split()) for x in texts)
             yield pa.RecordBatch.from_pylist(
-                [{"block": (partition << 32) | number, "n_words": words, "ids": ids[order].tolist(), "texts": texts.to_pylist()}],
+                [{"block": (partition << 32) | number, "n_words": words, "ids": ids.take(pa.array(order)).to_pylist(), "texts": texts.to_pylist()}],
                 schema=pa.schema([("block", pa.int64()), ("n_words", pa.int64()), ("ids", pa.list_(pa.int64())), ("texts", pa.list_(pa.string()))]),
             )
 
@@ -51,6 +51,10 @@ def _blocks(documents: DataFrame) -> DataFrame:
     return stored
 
 
+def _places(ids: pa.Array) -> np.ndarray:
+    return np.asarray(ids.fill_null(NO_ID))
+
+
 class Phrases:
     """Phrases (windows of `size` words) of one block and the anchor of each.
 
@@ -150,13 +154,10 @@ def _phrase_slices(blocks: DataFrame, size: int, buckets: int) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 block = batch.column("block")[row].as_py()
-                phrases, ids = Phrases(batch.column("texts")[row].values, size), np.asarray(batch.column("ids")[row].values)
+                phrases, ids = Phrases(batch.column("texts")[row].values, size), _places(batch.column("ids")[row].values)
                 _, value, head, _ = _candidates(phrases, ids, batch.column("answers")[row].as_py(), buckets)
                 if not len(value):
                     continue
-                # Rows without an id are no references.
-                with_id = ids[phrases.doc[head]] != NO_ID
-                value, head = value[with_id], head[with_id]
                 doc = ids[phrases.doc[head]]
                 place = (phrases.first[head] - phrases.at[phrases.doc[head]]).astype(np.uint32)
                 edges = _bucket_edges(value, buckets)
@@ -251,17 +252,17 @@ def _parsed(blocks: DataFrame, size: int, anchor_buckets: int, buckets: int) ->
                 yield parsed_block(batch, row)
 
     def parsed_block(batch: pa.RecordBatch, row: int) -> pa.RecordBatch:
-        texts, ids = batch.column("texts")[row].values, np.asarray(batch.column("ids")[row].values)
+        texts, own = batch.column("texts")[row].values, batch.column("ids")[row].values
+        ids = _places(own)
         phrases = Phrases(texts, size)
         which, value, head, code = _candidates(phrases, ids, batch.column("answers")[row].as_py(), anchor_buckets)
         # The first occurrence in the block, unless the index knows an earlier one.
         ref_doc = ids[phrases.doc[head]].copy() if len(head) else np.empty(0, np.int64)
         ref_place = phrases.first[head] - phrases.at[phrases.doc[head]] if len(head) else np.empty(0, np.int64)
-        asked = np.flatnonzero(ref_doc != NO_ID)
-        edges = _bucket_edges(value[asked], buckets)
+        edges = _bucket_edges(value, buckets)
         for answer in batch.column("found")[row].as_py() or []:
             a, b = edges[answer["bucket"]], edges[answer["bucket"] + 1]
-            hit = asked[a:b][np.unpackbits(np.frombuffer(answer["bits"], np.uint8), count=b - a).astype(bool)]
+            hit = a + np.flatnonzero(np.unpackbits(np.frombuffer(answer["bits"], np.uint8), count=b - a))
             ref_doc[hit] = _unpacked(answer["docs"], answer["base"], len(hit))
             ref_place[hit] = np.frombuffer(answer["places"], np.uint32)
         smaller = ref_doc[code] < ids[phrases.doc[which]] if len(which) else np.empty(0, bool)
@@ -283,7 +284,6 @@ def _parsed(blocks: DataFrame, size: int, anchor_buckets: int, buckets: int) ->
             removed.append(int(phrases.sizes[k]) - len(words))
             factors.append([dict(zip(("start", "length", "ref_doc", "ref_start"), f)) for f in found])
             kept.append(b" ".join(words).decode())
-        own = pa.array(ids, pa.int64(), mask=ids == NO_ID)
         return pa.RecordBatch.from_arrays([own, pa.array(phrases.sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(factors, schema.field("factors").type), pa.array(kept, pa.string())], schema=schema)
 
     factors = "array<struct<start: long, length: long, ref_doc: long, ref_start: long>>"
@@ -307,7 +307,7 @@ def substring_dedup(documents: DataFrame, size: int = 13) -> DataFrame:
 
     Phrases are compared by 64-bit hashes. Words are runs of bytes other than ASCII white space; nulls and
     empty texts have none and keep an empty text. Rows with a null doc_id come last: words of theirs are removed, they
-    are no references. Rows that repeat an id are no references for each other. Further columns are ignored.
+    are no references, and for them the id 2^63 - 1 is none either. Rows that repeat an id are no references for each other. Further columns are ignored.
     """
     blocks = _blocks(documents)
     words = blocks.agg(F.sum("n_words")).first()[0] or 0

@@ -92,6 +92,16 @@ def test_substrings_against_brute_force(spark, size, monkeypatch):
             assert texts[f.ref_doc][f.ref_start : f.ref_start + f.length] == texts[r.doc_id][f.start : f.start + f.length]
 
 
+def test_substrings_of_the_largest_id_and_of_rows_without_one(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "BLOCK_BYTES", 100)
+    passage, last = prose(7, 40), 2**63 - 1
+    rows = [(-(2**63), prose(1, 20)), (1, passage), (last, "own " + passage), (None, passage + " rest"), (None, prose(8, 40))]
+    docs = made(spark, [(i, t, "en", "s") for i, t in rows]).repartition(5)
+    got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in substrings.substring_dedup(docs, 13).collect()), key=repr)
+    assert got == brute_substrings(rows, 13)
+    assert (last, 41, 40, "own") in got and (None, 41, 40, "rest") in got
+
+
 def test_substrings_of_nothing(spark):
     assert substrings.substring_dedup(made(spark, [])).count() == 0
 
