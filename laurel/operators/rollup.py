@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from laurel.functions import dates, numbers
 from laurel.operators.ordered import OrderedGroups, Prefix
-from laurel.session import GROUP_ROWS
+from laurel.session import GROUP_ROWS, stored_copy
+
+# A quantile sketch is off by one part in so many of its rows; it holds a few times as many values.
+SKETCH_ACCURACY = 10_000
 
 
 def roll_up(
@@ -141,49 +144,65 @@ def percentiles(
     column: str,
     probabilities: Iterable[float],
     max_rows: int = GROUP_ROWS,
+    accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, one row per group and probability.
 
-    Equal values are counted before the shuffle and ranked by running counts, so a group of any size
-    is never gathered in one place.
+    Two scans. A quantile sketch, merged from the tasks' own, brackets each percentile between two values of its
+    group. The second scan counts what lies below a bracket and keeps the values inside it, about four in
+    `accuracy` of the group, equal ones counted before the shuffle; only these are ordered. So neither the
+    number of values nor a hot group decides what is shuffled or ranked. The sketch's error is bounded, and the
+    ranks are counted: were a bracket to miss its percentile, the query would fail, never return a near value.
+    Nulls and NaN are left out; groups without values have no row.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
-    placed = (
-        OrderedGroups(counts, keys, [column], max_rows)
-        .add(Prefix("_before", "sum", F.col("_n")))
-        .result()
-    )
-    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    marks = sorted(set(map(float, probabilities)))
+    kind = df.schema[column].dataType.typeName()
+    values = df.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col(column).alias("_v")).where("_v is not null")
+    if kind in ("float", "double"):
+        values = values.where(~F.isnan("_v"))
+    own = [f"_key{i}" for i in range(len(keys))]
+    # The sketch is off by a share 1 / accuracy of the rows at most.
+    margin = 2 / accuracy
+    asked = [F.lit(min(1.0, max(0.0, p + side))) for p in marks for side in (-margin, margin)]
+    edges = F.percentile_approx("_v", F.array(*asked), F.lit(accuracy)).alias("_edges")
+    sketch = values.groupBy(*own).agg(F.count(F.lit(1)).alias("_total"), edges)
     if keys:
-        sizes = sizes.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_total")
-        on = reduce(lambda a, c: a & c, [placed[k].eqNullSafe(sizes[f"_k_{k}"]) for k in keys])
-        placed = placed.join(sizes, on)
+        # Stored, so that its size is known when the join is planned.
+        sketch = stored_copy(sketch.toDF(*[f"_g{i}" for i in range(len(keys))], "_total", "_edges"))
+        on = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(own)])
+        values = values.join(sketch, on)
     else:
-        placed = placed.withColumn("_total", sizes.scalar())
-    steps = F.array(*[F.struct(F.lit(float(p)).alias("p")) for p in probabilities])
-    first, last = F.col("_before"), F.col("_before") + F.col("_n") - 1
-
-    def position(step: Column) -> Column:
-        return step["p"] * (F.col("_total") - 1)
-
-    # A value row answers only the probabilities whose neighbours it holds: most rows answer none.
-    answered = placed.withColumn(
-        "_step",
-        F.explode(
-            F.filter(
-                steps, lambda s: (first <= F.ceil(position(s))) & (last >= F.floor(position(s)))
-            )
-        ),
-    ).select(*keys, column, "_before", "_n", F.col("_step.p").alias("p"), position(F.col("_step")).alias("_at"))
-    low, high = F.floor("_at"), F.ceil("_at")
-    ends = answered.groupBy(*keys, "p", "_at").agg(
-        F.max(F.when((first <= low) & (last >= low), F.col(column))).alias("_lo"),
-        F.max(F.when((first <= high) & (last >= high), F.col(column))).alias("_hi"),
+        bounds = sketch.select(F.struct("_total", "_edges").alias("s")).scalar()
+        values = values.withColumn("_s", bounds).select("_v", "_s._total", "_s._edges")
+    # Side of each bracket that a value lies on: below, inside or above.
+    sides = []
+    for i, p in enumerate(marks):
+        low, high = F.col("_edges")[2 * i], F.col("_edges")[2 * i + 1]
+        side = F.when(F.col("_v") < low, -1).when(F.col("_v") > high, 1).otherwise(0)
+        sides.append(F.struct(F.lit(p).alias("p"), side.alias("side")))
+    sided = values.select(*own, "_v", "_total", F.explode(F.array(*sides)).alias("_x"))
+    inside = F.when(F.col("_x.side") == 0, F.col("_v")).alias("_in")
+    cells = sided.groupBy(*own, F.col("_x.p").alias("p"), F.col("_x.side").alias("_side"), inside).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"), F.max("_total").alias("_total")
+    )
+    placed = OrderedGroups(stored_copy(cells), [*own, "p"], ["_side", "_in"], max_rows).add(Prefix("_before", "sum", F.col("_n"))).result()
+    at = F.col("p") * (F.col("_total") - 1)
+    last = F.col("_before") + F.col("_n") - 1
+
+    def value_at(place: Column) -> Column:
+        # Of the values below a bracket the last one is known, of those above it the first.
+        held = (F.col("_before") <= place) & (last >= place)
+        known = F.when(F.col("_side") == 0, F.col("_in")).when((F.col("_side") < 0) & (place == last), F.col("_most"))
+        return F.max(F.when(held, known.when((F.col("_side") > 0) & (place == F.col("_before")), F.col("_least"))))
+
+    ends = placed.groupBy(*own, "p").agg(
+        value_at(F.floor(at)).alias("_lo"), value_at(F.ceil(at)).alias("_hi"), F.max(at - F.floor(at)).alias("_part")
     )
+    between = F.col("_lo") + F.col("_part") * (F.col("_hi") - F.col("_lo"))
+    found = F.when(F.col("_part") == 0, F.col("_lo")).otherwise(between)
+    missed = F.raise_error(F.lit("a percentile lies outside its bracket")).cast("double")
     return ends.select(
-        *keys,
-        "p",
-        (F.col("_lo") + (F.col("_at") - F.floor("_at")) * (F.col("_hi") - F.col("_lo"))).alias("value"),
+        *[F.col(k).alias(name) for k, name in zip(own, keys)], "p", F.coalesce(found.cast("double"), missed).alias("value")
     )
 
 

@@ -151,3 +151,39 @@ def test_tables_without_keys_are_ranked_in_ranges(spark):
     assert got.where("rank <> v + 1").count() == 0 and got.count() == 5000
     empty = ordered.rank_rows(rows_in.where("id < 0"), [], ["v"])
     assert empty.count() == 0
+
+
+@pytest.mark.parametrize("accuracy", [10, 10_000])
+def test_percentiles_from_brackets(spark, accuracy):
+    """Many, few, equal, null and odd values; brackets that hold little of a group, and a third of it under one key."""
+    import numpy as np
+
+    rng = random.Random(5)
+    data = [("a", rng.gauss(0, 1)) for _ in range(3000)] + [("b", float(rng.randint(0, 3))) for _ in range(2000)]
+    data += [(None, rng.random()) for _ in range(700)] + [("c", 1.0), ("c", 2.0), ("d", None), ("a", float("nan"))]
+    data += [("e", float("inf")), ("e", 1.0), ("f", -0.0)]
+    df = spark.createDataFrame(data, "g string, x double").repartition(5)
+    ps = [0.0, 0.001, 0.2, 0.5, 0.77, 1.0]
+    got = {(r.g, r.p): r.value for r in rollup.percentiles(df, ["g"], "x", ps, accuracy=accuracy).collect()}
+    groups = ["a", "b", "c", "e", "f", None]
+    assert set(got) == {(g, p) for g in groups for p in ps}
+    for g in ["a", "b", "c", "f", None]:
+        values = [x for k, x in data if k == g and x == x]
+        for p in ps:
+            assert got[g, p] == pytest.approx(np.percentile(values, 100 * p)), (g, p)
+    assert (got["e", 0.0], got["e", 0.5], got["e", 1.0]) == (1.0, float("inf"), float("inf"))
+    none = df.where("g = 'd'")
+    assert rollup.percentiles(none, ["g"], "x", ps).count() == rollup.percentiles(none, [], "x", ps).count() == 0
+    whole = {r.p: r.value for r in rollup.percentiles(df.where("g <> 'e'"), [], "x", ps, accuracy=accuracy).collect()}
+    values = [x for k, x in data if k not in (None, "e") and x is not None and x == x]
+    for p in ps:
+        assert whole[p] == pytest.approx(np.percentile(values, 100 * p))
+
+
+def test_percentiles_order_only_what_lies_in_brackets(spark, monkeypatch):
+    seen = []
+    plain = rollup.OrderedGroups
+    monkeypatch.setattr(rollup, "OrderedGroups", lambda df, *a: seen.append(df.count()) or plain(df, *a))
+    df = spark.range(100_000).selectExpr("id % 2 as g", "cast(id * 7919 % 100003 as double) as x")
+    rollup.percentiles(df, ["g"], "x", [0.25, 0.5, 0.75], accuracy=1000).collect()
+    assert seen[0] <= 2 * 3 * (5 * 100_000 / 2 / 1000 + 2)
