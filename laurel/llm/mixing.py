@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -67,6 +68,15 @@ def group_starts(groups: DataFrame) -> DataFrame:
     return ahead.join(sizes, same).select("g.source", "g.size", "g.span", start)
 
 
+GROUP_KEYS = ("_no_source", "_source", "_size", "_no_span", "_span")
+
+
+def _group_keys(source: Column, size: Column, span: Column) -> list[Column]:
+    """Source, size and id span as GROUP_KEYS, none of which is null."""
+    values = (source.isNull(), F.coalesce(source, F.lit("")), size, span.isNull(), F.coalesce(span, F.lit(0)))
+    return [v.alias(k) for v, k in zip(values, GROUP_KEYS)]
+
+
 def mixed_copies(
     documents: DataFrame, cycle: tuple[float, ...] = (5, 2, 1), most: float = 3.0, seed: int = 7
 ) -> DataFrame:
@@ -94,22 +104,23 @@ def mixed_copies(
     groups = stored_copy(docs.groupBy("source", "size", "span").agg(F.count("*").alias("n")))
     sizes = groups.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     targets = source_targets(sizes, cycle, most).alias("t")
-    starts = group_starts(groups).alias("g")
+    # Targets join the groups, so that rows with their texts never meet by source alone.
+    starts = group_starts(groups).alias("s").join(targets, F.col("s.source").eqNullSafe(F.col("t.source")))
+    starts = starts.select("s.*", "source_size", "target")
+    # Window and join have the same keys without nulls, so the rows with their texts are shuffled once.
+    docs = docs.select(*_group_keys(F.col("source"), F.col("size"), F.col("span")), "*")
+    starts = starts.select(*_group_keys(F.col("source"), F.col("size"), F.col("span")), "start", "source_size", "target").alias("g")
     # At most 2 ** ID_BITS documents with different ids meet in one window.
-    inside = Window.partitionBy("source", "size", "span").orderBy("doc_id", "tie")
+    inside = Window.partitionBy(*GROUP_KEYS).orderBy("doc_id", "tie")
     placed = docs.withColumn("within", F.row_number().over(inside)).alias("d")
-    same = (
-        F.col("d.source").eqNullSafe(F.col("g.source"))
-        & (F.col("d.size") == F.col("g.size"))
-        & F.col("d.span").eqNullSafe(F.col("g.span"))
-    )
-    out = placed.join(starts, same).join(targets, F.col("d.source").eqNullSafe(F.col("t.source")))
+    same = reduce(lambda a, b: a & b, [F.col(f"d.{k}") == F.col(f"g.{k}") for k in GROUP_KEYS])
+    out = placed.join(starts, same)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     place = F.col("start") + F.col("within")
     offset = F.lit(random.Random(seed).random())
     crossed = F.floor(rate * place + offset) - F.floor(rate * (place - 1) + offset)
     copies = F.least(F.greatest(crossed, F.lit(0)), F.lit(math.ceil(most))).cast("long")
-    out = out.select("d.doc_id", "d.size", "t.source_size", "t.target", copies.alias("copies"), "d.row")
+    out = out.select("d.doc_id", "d.size", "g.source_size", "g.target", copies.alias("copies"), "d.row")
     return out.withColumn("taken", F.col("copies") * F.col("size"))
 
 
