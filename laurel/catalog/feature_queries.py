@@ -9,7 +9,7 @@ from laurel.catalog.bindings import HONOURS, oracle
 from laurel.catalog.ordered_queries import flagged
 from laurel.catalog.registry import query
 from laurel.plans import features
-from laurel.plans.history import HISTORY_COLUMNS, team_game_history
+from laurel.plans.history import HISTORY_COLUMNS
 
 STATS = ("minutes", "points", "assists", "plus_minus", "attempted", "made")
 AS_OF = "2001-09-15"
@@ -127,12 +127,12 @@ def weekly(t, awards=None):
     sql(
         "SELECT "
         + ", ".join("ROUND(opp_winrate_prior, 6) AS opp_winrate_prior" if c == "opp_winrate_prior" else c for c in HISTORY_COLUMNS)
-        + " FROM hist WHERE gamedate >= DATE '1997-07-01'"
+        + " FROM hist"
     ),
 )
 def fea_1(t):
-    history = team_game_history(b.games_table(t), where="gamedate >= '1997-07-01'")
-    return history.withColumn("opp_winrate_prior", F.round("opp_winrate_prior", 6))
+    """Both teams' record going into every game of the table; the operator's filter is an argument of its callers."""
+    return b.history(t).withColumn("opp_winrate_prior", F.round("opp_winrate_prior", 6))
 
 
 ELITE_SQL = """

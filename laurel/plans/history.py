@@ -115,12 +115,26 @@ def team_game_history(
     if where:
         games = games.where(where)
     groups = season_groups(with_flags(team_rows(games, columns)), max_rows)
+    # First only what the other team's row needs: its lookup moves the rows twice, with few columns this way.
     groups.add(
         Prefix("games_prior", "count"),
         Prefix("wins_prior", "sum", F.col("is_win")),
+    )
+    groups.with_columns(
+        {
+            "opp_wins_prior": other_side("wins_prior"),
+            "_opp_games": other_side("games_prior"),
+        }
+    )
+    rate = F.try_divide(F.col("opp_wins_prior"), F.col("_opp_games"))
+    groups.with_columns(
+        {"is_win_vs_over_500": F.when((F.col("is_win") == 1) & (rate > 0.5), 1).otherwise(0)}
+    )
+    groups.add(
         Prefix("home_games_prior", "sum", F.col("home")),
         Prefix("home_wins_prior", "sum", F.col("is_home_win")),
         Prefix("away_wins_prior", "sum", F.col("is_away_win")),
+        Prefix("wins_vs_over_500_prior", "sum", F.col("is_win_vs_over_500")),
     )
     groups.add_streaks(
         {
@@ -134,23 +148,10 @@ def team_game_history(
         Prefix("week_wins_prior", "sum", F.col("is_win")),
         reset=["week_start"],
     )
-    groups.with_columns(
-        {
-            "opp_wins_prior": other_side("wins_prior"),
-            "_opp_games": other_side("games_prior"),
-        }
-    )
-    rate = F.try_divide(F.col("opp_wins_prior"), F.col("_opp_games"))
-    groups.with_columns(
+    rows = groups.result().withColumns(
         {
             "opp_losses_prior": F.col("_opp_games") - F.col("opp_wins_prior"),
             "opp_winrate_prior": rate,
-            "is_win_vs_over_500": F.when((F.col("is_win") == 1) & (rate > 0.5), 1).otherwise(0),
-        }
-    )
-    groups.add(Prefix("wins_vs_over_500_prior", "sum", F.col("is_win_vs_over_500")))
-    rows = groups.result().withColumns(
-        {
             "outcome": F.when(F.col("is_win") == 1, "win").otherwise("loss"),
             "losses_prior": F.col("games_prior") - F.col("wins_prior"),
             "home_losses_prior": F.col("home_games_prior") - F.col("home_wins_prior"),

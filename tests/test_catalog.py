@@ -2,8 +2,10 @@
 
 import pytest
 from check import compare, connect
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from laurel.catalog import bindings
 
 SF = "/root/testdata/sf0.001"
 KEYS = [
@@ -23,6 +25,14 @@ def test_query_matches_oracle(spark, oracle, key):
     assert compare(entry.queries()[key](spark, SF), oracle, entry.oracle_sql()[key]) is None
 
 
+def test_history_has_both_sides_of_every_game(spark, oracle):
+    history = entry.queries()["fea_1"](spark, SF)
+    games = oracle.execute(bindings.oracle("SELECT COUNT(*), MIN(gamedate) FROM b1")).fetchone()
+    sides = oracle.execute(f"SELECT COUNT(*) FROM ({entry.oracle_sql()['fea_1']}) h").fetchone()[0]
+    assert history.count() == sides == 2 * games[0]
+    assert history.agg(F.min("gamedate")).first()[0] == games[1]
+
+
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 

@@ -85,3 +85,8 @@ def test_later_games_change_nothing(games):
 def test_chunked_history_equals_plain(games):
     columns = team_game_history(games).columns
     assert rows(team_game_history(games), *columns) == rows(team_game_history(games, max_rows=2), *columns)
+
+
+def test_filter_is_taken_before_the_records(games):
+    got = of_team(team_game_history(games, where="gamedate >= '2021-01-01'"), 1, "gameid", "wins_prior", "losses_prior")
+    assert got == [(3, 0, 0), (4, 0, 1), (5, 1, 1), (6, 0, 0)]
