@@ -14,7 +14,7 @@ from laurel.catalog.registry import Tables
 from laurel.functions import dates
 from laurel.operators import ordered
 from laurel.plans.history import GameColumns, team_game_history
-from laurel.session import stored_copy as stored
+from laurel.session import broadcast_checked, stored_copy as stored
 
 
 def floor_mod_100(column):
@@ -78,16 +78,27 @@ def games_from_orders(t: Tables) -> DataFrame:
 
 def box_from_lines(t: Tables) -> DataFrame:
     """B2: one row per (order, supplier); players are suppliers. Season and week are added."""
-    lines = t.lineitem.groupBy("l_orderkey", "l_suppkey").agg(
-        F.count(F.lit(1)).alias("minutes"),
-        F.sum("l_quantity").cast("bigint").alias("points"),
-        F.sum("l_linenumber").alias("assists"),
-        F.sum((F.col("l_returnflag") == "N").cast("int")).alias("made"),
+    lines = (
+        t.lineitem.select(
+            "l_orderkey", "l_suppkey", "l_quantity", "l_linenumber", (F.col("l_returnflag") == "N").cast("int").alias("made")
+        )
+        # Dealt by order alone, the lines are shuffled once for the sums and for the join.
+        .repartition("l_orderkey")
+        .groupBy("l_orderkey", "l_suppkey")
+        .agg(
+            F.count(F.lit(1)).alias("minutes"),
+            F.sum("l_quantity").cast("bigint").alias("points"),
+            F.sum("l_linenumber").alias("assists"),
+            F.sum("made").alias("made"),
+        )
     )
+    played = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", "o_orderdate", "c_nationkey"
+    )
+    teams = broadcast_checked(t.supplier.select("s_suppkey", "s_nationkey"))
     return (
-        lines.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        lines.join(played, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(teams, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
             F.col("l_orderkey").alias("gameid"),
             F.col("l_suppkey").alias("player_id"),
@@ -118,7 +129,16 @@ def conferences(t: Tables) -> DataFrame:
 
 
 def player_weeks(t: Tables) -> DataFrame:
-    """Box scores rolled up per player, team and week."""
+    """Box scores rolled up per player, team and week, from the stored copy if there is one."""
+    return t.made("player_weeks") or player_weeks_from_box(t)
+
+
+def player_weeks_table(t: Tables) -> DataFrame:
+    """Player-weeks stored: for queries that scan them more than once; the award list then comes from them too."""
+    return t.once("player_weeks", lambda: stored(player_weeks_from_box(t)))
+
+
+def player_weeks_from_box(t: Tables) -> DataFrame:
     return (
         box(t)
         .groupBy("player_id", "teamid", "season", "week_start")
@@ -135,8 +155,9 @@ def scored_weeks(t: Tables) -> DataFrame:
 
 
 def scored_weeks_from_box(t: Tables) -> DataFrame:
+    """A week of two seasons is one row here; sums over its player-weeks are those over its box scores."""
     return (
-        box(t)
+        (t.made("player_weeks") or box(t))
         .groupBy("player_id", "teamid", "week_start")
         .agg(F.sum("points").alias("points"), F.sum("assists").alias("assists"))
         .join(conferences(t), "teamid")

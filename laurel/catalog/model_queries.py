@@ -10,7 +10,7 @@ from laurel.catalog.bindings import oracle
 from laurel.catalog.registry import query
 from laurel.modelling import models, splits
 from laurel.operators import ranking, rollup
-from laurel.session import scratch_path
+from laurel.session import broadcast_bounded, scratch_path
 
 GROUP = ["week_start", "conference"]
 WEEK = ["player_id", "teamid", "season", "week_start"]
@@ -43,11 +43,15 @@ def documents(t):
 
 
 def candidates(t):
-    """Player-weeks as award candidates: label y, season and the numbers of the week."""
-    won = b.awards(t).select("player_id", "week_start", "conference", F.lit(1).alias("y"))
+    """Player-weeks as award candidates: label y, season and the numbers of the week.
+
+    The player-weeks are stored first, so that each scan of the candidates reads them and shuffles nothing.
+    """
+    weeks = b.player_weeks_table(t)
+    # One award per week and conference.
+    won = broadcast_bounded(b.awards(t).select("player_id", "week_start", "conference", F.lit(1).alias("y")))
     return (
-        b.player_weeks(t)
-        .join(b.conferences(t), "teamid")
+        weeks.join(b.conferences(t), "teamid")
         .join(won, ["player_id", "week_start", "conference"], "left")
         .fillna({"y": 0})
         .select(*WEEK, "conference", "y", *[F.col(s).cast("double").alias(s) for s in STATS])
@@ -335,21 +339,22 @@ def ml_13(t):
 # Five seeds on each of five season folds, rows and features drawn for each tree, stopped on the fold's season.
 @query("ml_14")
 def ml_14(t):
-    rows = b.stored(candidates(t))
+    rows = candidates(t)
 
-    def run(season, train, validation, seed, number):
+    def run(season, train, validation, first):
         def fitted():
             marked = models.class_weights(train, "y").withColumn("held", F.lit(False))
             marked = marked.unionByName(validation.withColumns({"weight": F.lit(1.0), "held": F.lit(True)}))
             stages = models.feature_stages(marked.select(*STATS), exclude=(), scale=False)
-            learner = models.boosted(rounds=500, depth=4, seed=seed, sample=0.7, features="0.5", held="held")
-            return models.importances(models.fit(marked, stages, learner), STATS, number, t.spark)
+            learner = models.boosted(rounds=500, depth=4, sample=0.7, features="0.5", held="held")
+            found = models.fit_seeds(marked, stages, learner, (42, 76, 120, 271, 999))
+            return [models.importances(model, STATS, first + i, t.spark) for i, model in enumerate(found)]
 
         return fitted
 
     folds = [f for f in splits.season_folds(rows, 5) if not f[1].isEmpty()]
-    jobs = [run(*fold, seed, 10 * i + j) for i, fold in enumerate(folds) for j, seed in enumerate((42, 76, 120, 271, 999))]
-    runs = rollup.union_all(*models.fit_side_by_side(jobs, most=8))
+    jobs = [run(*fold, 10 * i) for i, fold in enumerate(folds)]
+    runs = rollup.union_all(*[one for fold in models.fit_side_by_side(jobs, most=5) for one in fold])
     summary = b.stored(ranking.importance_summary(runs))
     low = ranking.low_importance(summary).select("feature", F.lit(True).alias("low"))
     models_fitted = runs.agg(F.count_distinct("run").alias("n")).scalar()

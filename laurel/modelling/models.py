@@ -14,13 +14,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, functions as F
 
+from laurel.modelling.boosting import CellBoosting
 from laurel.modelling.splits import season_folds
 from laurel.operators import ranking
 from laurel.operators.ordered import OrderedGroups, Prefix
@@ -127,7 +128,7 @@ def boosted(
     Boosting then stops when a round lowers the loss on the marked rows by less than `tolerance` of it, and the
     model keeps the trees up to the best round. `sample` and `features` draw rows and features for each tree.
     """
-    model = GBTClassifier(
+    model = CellBoosting(
         labelCol=label, featuresCol="features", maxIter=rounds, maxDepth=depth, seed=seed, stepSize=step,
         subsamplingRate=sample, featureSubsetStrategy=features, validationTol=tolerance,
     )
@@ -366,6 +367,12 @@ def fit(df: DataFrame, stages: Sequence, learner) -> PipelineModel:
     return Pipeline(stages=[*stages, learner]).fit(df)
 
 
+def fit_seeds(df: DataFrame, stages: Sequence, learner: CellBoosting, seeds: Sequence[int]) -> list[PipelineModel]:
+    """A model of `fit` for each seed; the stages are fitted and the rows are counted once for all of them."""
+    prepared = Pipeline(stages=list(stages)).fit(df)
+    return [PipelineModel([*prepared.stages, m]) for m in learner.fit_seeds(prepared.transform(df), seeds)]
+
+
 def score(model: PipelineModel, df: DataFrame, name: str = "score") -> DataFrame:
     """Probability of class 1 as `score`, beside the input columns and `prediction`."""
     scored = model.transform(df)
