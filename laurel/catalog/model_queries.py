@@ -154,7 +154,7 @@ def ml_6(t):
 def ml_7(t):
     train, test = splits.season_split(candidates(t))
     held = train.agg(F.max("season").alias("s")).scalar()
-    train = b.stored(models.class_weights(train, "y").withColumn("held", F.col("season") == held))
+    train = models.class_weights(train, "y").withColumn("held", F.col("season") == held)
     stages = models.feature_stages(train.select(*STATS), exclude=(), scale=False)
     model = models.fit(train, stages, models.boosted(rounds=500, depth=5, held="held", tolerance=0.001))
     scored = models.score(model, test).withColumn("rounds", F.lit(model.stages[-1].getNumTrees))
@@ -172,7 +172,7 @@ def ml_8(t):
 # Top-1 of the boosted ranker beside the linear one on the five newest seasons; folds are fitted side by side.
 @query("ml_8_trees")
 def ml_8_trees(t):
-    rows = b.stored(candidates(t))
+    rows = candidates(t)
 
     def fold(season, train, validation):
         def run():
@@ -363,7 +363,7 @@ def ml_14(t):
 
 @query("ml_15")
 def ml_15(t):
-    rows = b.stored(candidates(t))
+    rows = candidates(t)
 
     def fit_and_score(train, validation, setting):
         train, validation = splits.standardise(train, STATS, validation)

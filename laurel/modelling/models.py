@@ -6,6 +6,7 @@ a perceptron and fold metrics only.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -13,19 +14,23 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from laurel.modelling.boosting import CellBoosting
 from laurel.modelling.splits import season_folds
 from laurel.operators import ranking
 from laurel.operators.ordered import OrderedGroups, Prefix
-from laurel.session import GROUP_ROWS, broadcast_checked, stored_copy
+from laurel.session import BROADCAST_ROWS, GROUP_ROWS, broadcast_checked, stored_copy
+
+# Workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Columns that name the row, hold the answer, or are known only after the season.
 NOT_FEATURES = (
@@ -160,14 +165,24 @@ class RankingTrees:
         return rows.drop("_features")
 
 
-def with_sides(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
-    """`df` with the number of `_winners` and `_losers` of each group; groups without both are left out."""
-    wins = F.col(label) == 1
-    sides = df.groupBy(*keys).agg(F.count_if(wins).alias("_winners"), F.count_if(~wins).alias("_losers"))
+def counted_rows(df: DataFrame, columns: Sequence[str | Column]) -> DataFrame:
+    """Different rows of `columns`, and `_rows`, how often each comes: equal rows of a group have equal gradients."""
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def with_sides(df: DataFrame, keys: Sequence[str], label: str, count: str | None = None) -> DataFrame:
+    """`df` with the number of `_winners` and `_losers` of each group; groups without both are left out.
+
+    A row stands for as many as the column `count` says, here and in `margin_gradients`.
+    """
+    wins, n = F.col(label) == 1, F.col(count) if count else F.lit(1).cast("long")
+    sides = df.groupBy(*keys).agg(F.sum(F.when(wins, n).otherwise(0)).alias("_winners"), F.sum(F.when(~wins, n).otherwise(0)).alias("_losers"))
     return df.join(sides.where("_winners > 0 and _losers > 0"), list(keys))
 
 
-def margin_gradients(df: DataFrame, keys: Sequence[str], score: str, label: str, margin: float = 1.0, max_rows: int | None = GROUP_ROWS) -> DataFrame:
+def margin_gradients(
+    df: DataFrame, keys: Sequence[str], score: str, label: str, margin: float = 1.0, max_rows: int | None = GROUP_ROWS, count: str | None = None
+) -> DataFrame:
     """Rows of `with_sides` with `_pull`, the share of the other side that a row has not yet passed by `margin`.
 
     A winner is pulled up by the share of its group's losers above `winner - margin`, a loser down by the share of
@@ -175,16 +190,16 @@ def margin_gradients(df: DataFrame, keys: Sequence[str], score: str, label: str,
     losers stand at their score, winners at theirs less the margin, and both shares are running counts in that one
     order. `_weight` makes the winners and the losers of a group count 1 in all each.
     """
-    wins = F.col(label) == 1
+    wins, n = F.col(label) == 1, F.col(count) if count else F.lit(1).cast("long")
     placed = df.withColumn("_at", F.when(wins, F.col(score) - margin).otherwise(F.col(score)))
     # Of equal places the loser comes first: a loser just `margin` below costs nothing.
     counted = (
         OrderedGroups(placed, keys, ["_at", F.col(label)], max_rows)
-        .add(Prefix("_below_w", "sum", wins.cast("long")), Prefix("_below_l", "sum", (~wins).cast("long")))
+        .add(Prefix("_below_w", "sum", wins.cast("long") * n), Prefix("_below_l", "sum", (~wins).cast("long") * n))
         .result()
     )
     pull = F.when(wins, (F.col("_losers") - F.col("_below_l")) / F.col("_losers")).otherwise(-F.col("_below_w") / F.col("_winners"))
-    weight = F.when(wins, 1 / F.col("_winners")).otherwise(1 / F.col("_losers"))
+    weight = F.when(wins, n / F.col("_winners")).otherwise(n / F.col("_losers"))
     return counted.withColumns({"_pull": pull, "_weight": weight}).drop("_at", "_below_w", "_below_l")
 
 
@@ -207,16 +222,18 @@ def fit_ranking_trees(
     Rows with `held` true are not fitted; their winners' mean pull is the loss that stops the boosting when
     `patience` rounds did not lower it by `tolerance` of it, and trees behind the best round are dropped. `rounds`
     is a limit only. Each round reads the scores of the round before from a stored table, so plans do not nest.
+    Rows that agree in group, label and columns are one row with a count and as many times the weight.
     """
-    rows = VectorAssembler(inputCols=list(columns), outputCol="features").transform(with_sides(df, keys, label))
-    rows = stored_copy(rows.select(*keys, label, held, "features", "_winners", "_losers", F.lit(0.0).alias("score")))
+    different = counted_rows(df, [*keys, label, held, *columns])
+    rows = VectorAssembler(inputCols=list(columns), outputCol="features").transform(with_sides(different, keys, label, "_rows"))
+    rows = stored_copy(rows.select(*keys, label, held, "features", "_winners", "_losers", "_rows", F.lit(0.0).alias("score")))
     # The groups stay as they are, so one look says whether any has to be cut into chunks.
-    largest = rows.agg(F.max(F.col("_winners") + F.col("_losers"))).first()[0] or 0
+    largest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     limit = max_rows if largest > max_rows else None
     trees, losses, best = [], [], 0
     while len(trees) < rounds:
-        pulled = stored_copy(margin_gradients(rows, keys, "score", label, max_rows=limit))
-        loss = pulled.where(F.col(held) & (F.col(label) == 1)).agg(F.avg("_pull")).first()[0]
+        pulled = stored_copy(margin_gradients(rows, keys, "score", label, max_rows=limit, count="_rows"))
+        loss = pulled.where(F.col(held) & (F.col(label) == 1)).agg(F.sum(F.col("_pull") * F.col("_rows")) / F.sum("_rows")).first()[0]
         losses.append(1.0 if loss is None else float(loss))
         best = len(losses) - 1 if losses[-1] < losses[best] * (1 - tolerance) else best
         if len(losses) - 1 - best >= patience or losses[-1] == 0:
@@ -284,16 +301,27 @@ def fit_group_perceptron(
 ) -> GroupPerceptron:
     """Perceptron that ranks within groups: it lowers the mean margin loss over winner-loser pairs of each group.
 
-    An epoch is one job: tasks score their rows, `margin_gradients` says how far each row is pulled without forming a
-    pair, and tasks add up the gradients of the weights, which are summed weight by weight. Only those sums, as many
+    An epoch is one job: tasks score each different row of the columns, `margin_gradients` says how far each row is
+    pulled without forming a pair, the pulls of equal rows are added up, and tasks add up the gradients of the weights,
+    which are summed weight by weight. Rows that agree in group, label and columns are one row with a count. Only those sums, as many
     as the layers have weights, come to the driver, which steps (Adam). A group may be of any size, and groups weigh
     the same. `losses` has the mean pull of the winners before each step and at the end; the weights with the least
     of them are kept. Groups without both labels are left out; without any group the weights stay as they began.
     """
     features = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns]).alias("_x")
-    rows = stored_copy(with_sides(df, keys, label).select(*keys, label, "_winners", "_losers", features))
+    spread = df.sparkSession.sparkContext.defaultParallelism
+    different = stored_copy(counted_rows(df.select(*keys, label, features), [*keys, label, "_x"]))
+    sided = with_sides(different, keys, label, "_rows")
+    # The layers are run once for each different row of the columns; the number that a row refers to is written.
+    points = stored_copy(sided.select("_x").distinct().repartition(spread).withColumn("_id", F.monotonically_increasing_id()))
+    small = points.count() <= BROADCAST_ROWS
+
+    def hinted(side: DataFrame) -> DataFrame:
+        return F.broadcast(side) if small else side
+
+    rows = stored_copy(sided.join(hinted(points), "_x").drop("_x"))
     groups = rows.select(*keys).distinct().count()
-    largest = rows.agg(F.max(F.col("_winners") + F.col("_losers"))).first()[0] or 0
+    largest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     limit = max_rows if largest > max_rows else None
     random, sizes = np.random.default_rng(seed), [len(columns), *hidden, 1]
     layers = [(random.normal(0, np.sqrt(2 / a), (a, b)), np.zeros(b)) for a, b in zip(sizes, sizes[1:])]
@@ -317,16 +345,19 @@ def fit_group_perceptron(
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                pull, weight, wins = (np.asarray(batch.column(c).cast(pa.float64())) for c in ("_pull", "_weight", "_wins"))
+                pull, loss = (np.asarray(batch.column(c)) for c in ("_pull", "_loss"))
                 x = np.asarray(batch.column("_x").flatten()).reshape(-1, width)
-                total[:-1] += _gradient(layers, x, pull * weight)
-                total[-1] += (pull * weight * wins).sum()
+                total[:-1] += _gradient(layers, x, pull)
+                total[-1] += loss.sum()
                 any_rows = True
             if any_rows:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(count + 1, dtype=np.int32)), pa.array(total)], names=["slot", "value"])
 
-        pulled = margin_gradients(rows.withColumn("_score", scored("_x")), keys, "_score", label, margin, max_rows=limit)
-        pulled = pulled.select("_x", "_pull", "_weight", (F.col(label) == 1).cast("double").alias("_wins"))
+        score = hinted(points.select("_id", scored("_x").alias("_score")))
+        pulled = margin_gradients(rows.join(score, "_id"), keys, "_score", label, margin, max_rows=limit, count="_rows")
+        force = F.col("_pull") * F.col("_weight")
+        pulled = pulled.groupBy("_id").agg(F.sum(force).alias("_pull"), F.sum(F.when(F.col(label) == 1, force).otherwise(0.0)).alias("_loss"))
+        pulled = points.join(hinted(pulled), "_id").select("_x", "_pull", "_loss")
         found = pulled.mapInArrow(sums, "slot int, value double").groupBy("slot").agg(F.sum("value").alias("value")).toPandas()
         flat = np.zeros(count + 1)
         flat[found["slot"].to_numpy()] = found["value"].to_numpy()

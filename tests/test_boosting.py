@@ -85,3 +85,19 @@ def test_borders_of_few_and_of_many_values():
     assert boosting.thresholds(np.array([1.0]), np.ones(1), 1.0, 32).tolist() == []
     many = boosting.thresholds(np.arange(1000.0), np.ones(1000), 1000.0, 4)
     assert many.tolist() == [249.5, 499.5, 749.5]
+
+
+@pytest.mark.parametrize("ranker", ["trees", "perceptron"])
+def test_rankers_store_equal_rows_once(spark, monkeypatch, ranker):
+    rng, stored, found = random.Random(5), models.stored_copy, {}
+    data = [(g, float(rng.randint(0, 6)), float(rng.randint(0, 2)), int(k == 0), g % 4 == 3) for g in range(20) for k in range(12)]
+    for copies in (1, 6):
+        df, sizes = spark.createDataFrame(data * copies, "g int, x double, z double, y int, held boolean"), []
+        monkeypatch.setattr(models, "stored_copy", lambda rows: (out := stored(rows), sizes.append(out.count()))[0])
+        if ranker == "trees":
+            model = models.fit_ranking_trees(df, ["g"], ["x", "z"], held="held", rounds=6)
+        else:
+            model = models.fit_group_perceptron(df, ["g"], ["x", "z"], hidden=(8, 4), epochs=3)
+        found[copies] = model.losses, max(sizes)
+    assert found[1][0] == pytest.approx(found[6][0])
+    assert found[1][1] == found[6][1] <= len(set(data))
