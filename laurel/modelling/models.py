@@ -419,31 +419,44 @@ def area_under_roc(scored: DataFrame, label: str = "y") -> float:
     return evaluator.evaluate(scored)
 
 
-def winner_differences(df: DataFrame, keys: Sequence[str], columns: Sequence[str], label: str = "y") -> DataFrame:
+def winner_differences(df: DataFrame, keys: Sequence[str], columns: Sequence[str], label: str = "y", counted: bool = False) -> DataFrame:
     """One row per loser: the mean of its group's winners minus the loser, as `features`.
 
     One difference per loser keeps the table as long as its input; with one winner per group it is
     every winner-loser pair. Half of the rows, by hash, are mirrored with label 0, which leaves the
-    logistic loss as it is and gives the learner both classes.
+    logistic loss as it is and gives the learner both classes. With `counted`, equal losers of a group are one row
+    and `_rows` says how many.
     """
     winners = df.where(F.col(label) == 1).groupBy(*keys).agg(*[F.avg(c).alias(f"_w_{c}") for c in columns])
-    losers = df.where(F.col(label) == 0).join(broadcast_checked(winners), list(keys))
+    losers = df.where(F.col(label) == 0)
+    losers = counted_rows(losers, [*keys, *columns]) if counted else losers
+    losers = losers.join(broadcast_checked(winners), list(keys))
     sign = F.when(F.pmod(F.xxhash64(*keys, *columns), F.lit(2)) == 0, 1.0).otherwise(-1.0)
     signed = losers.withColumn("_sign", sign).select(
         *[((F.col(f"_w_{c}") - F.col(c)) * F.col("_sign")).alias(c) for c in columns],
         (F.col("_sign") > 0).cast("int").alias("label"),
+        *([F.col("_rows").cast("double").alias("_rows")] if counted else []),
     )
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(signed)
 
 
 def fit_pairwise(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str], label: str = "y", reg: float = 0.001, max_iter: int = 100
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], label: str = "y", reg: float = 0.001, max_iter: int = 100, max_rows: int = GROUP_ROWS
 ) -> dict[str, float]:
-    """Weights w of a linear ranker: winners should score higher than losers of their group."""
-    learner = LogisticRegression(
-        featuresCol="features", labelCol="label", fitIntercept=False, regParam=reg, maxIter=max_iter
-    )
-    model = learner.fit(winner_differences(df, keys, columns, label))
+    """Weights w of a linear ranker: winners should score higher than losers of their group.
+
+    The learner keeps its rows on the executors. Of more than `max_rows` losers, equal ones of a group are one row with a
+    weight, so that these fit.
+    """
+    counted = df.where(F.col(label) == 0).limit(max_rows + 1).count() > max_rows
+    rows = winner_differences(df, keys, columns, label, counted)
+    learner = LogisticRegression(featuresCol="features", labelCol="label", fitIntercept=False, maxIter=max_iter)
+    if counted:
+        rows = stored_copy(rows)
+        n, squares = rows.agg(F.sum("_rows"), F.sum(F.col("_rows") * F.col("_rows"))).first()
+        # The learner scales by deviations whose divisor is n - squares / n here and n - 1 for single rows.
+        reg, learner = reg * (n - squares / n) / (n - 1) if n else reg, learner.setWeightCol("_rows")
+    model = learner.setRegParam(reg).fit(rows)
     return dict(zip(columns, (float(w) for w in model.coefficients)))
 
 

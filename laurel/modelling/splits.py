@@ -70,23 +70,11 @@ def standardise(
     train: DataFrame, columns: Sequence[str], *others: DataFrame
 ) -> tuple[DataFrame, ...]:
     """Scale columns by mean and population deviation of the training rows; constants become 0."""
-    stats = train.agg(
-        F.struct(
-            *[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]
-        )
-    )
+    # One row of numbers, read once: each later scan of the scaled rows would sum the training rows again.
+    stats = train.agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]).first()
 
     def scaled(df: DataFrame) -> DataFrame:
-        s = F.col("_stats")
-        return (
-            df.withColumn("_stats", stats.scalar())
-            .withColumns(
-                {
-                    c: F.when(s[f"s_{c}"] > 0, (F.col(c) - s[f"m_{c}"]) / s[f"s_{c}"]).otherwise(F.lit(0.0))
-                    for c in columns
-                }
-            )
-            .drop("_stats")
-        )
+        m, s = ({c: F.lit(stats[f"{kind}_{c}"]).cast("double") for c in columns} for kind in "ms")
+        return df.withColumns({c: F.when(s[c] > 0, (F.col(c) - m[c]) / s[c]).otherwise(F.lit(0.0)) for c in columns})
 
     return tuple(scaled(df) for df in (train, *others))

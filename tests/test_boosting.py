@@ -95,9 +95,19 @@ def test_rankers_store_equal_rows_once(spark, monkeypatch, ranker):
         df, sizes = spark.createDataFrame(data * copies, "g int, x double, z double, y int, held boolean"), []
         monkeypatch.setattr(models, "stored_copy", lambda rows: (out := stored(rows), sizes.append(out.count()))[0])
         if ranker == "trees":
-            model = models.fit_ranking_trees(df, ["g"], ["x", "z"], held="held", rounds=6)
+            model = models.fit_ranking_trees(df, ["g"], ["x", "z"], held="held", rounds=2)
         else:
-            model = models.fit_group_perceptron(df, ["g"], ["x", "z"], hidden=(8, 4), epochs=3)
+            model = models.fit_group_perceptron(df, ["g"], ["x", "z"], hidden=(8, 4), epochs=1)
         found[copies] = model.losses, max(sizes)
     assert found[1][0] == pytest.approx(found[6][0])
     assert found[1][1] == found[6][1] <= len(set(data))
+
+
+def test_pairwise_ranker_of_counted_losers(spark):
+    rng = random.Random(9)
+    data = [(g, float(rng.randint(0, 9)), float(rng.randint(0, 3)), int(k < 2)) for g in range(12) for k in range(30) for _ in range(1 + k % 3)]
+    df = spark.createDataFrame(data, "g int, x double, z double, y int")
+    plain, counted = (models.fit_pairwise(df, ["g"], ["x", "z"], reg=0.3, max_rows=m) for m in (10_000, 50))
+    assert counted == pytest.approx(plain, rel=1e-4)
+    once, single = (models.winner_differences(df, ["g"], ["x", "z"], counted=c) for c in (True, False))
+    assert once.count() < single.count() == once.agg(F.sum("_rows")).first()[0]
